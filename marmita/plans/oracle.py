@@ -263,6 +263,13 @@ def _orphans(child: str, rows: str, column: str, parent: str, parent_rows: str,
         WHERE {column} NOT IN (SELECT {key} FROM {parent_rows})"""
 
 
+# stored table -> its rows
+_STORED = {
+    "bronze_eventhub_capture_raw": "ev", "bronze_delivery_batches": "ev",
+    "silver_clientes": "s_clientes", "silver_restaurantes": "s_restaurantes", "silver_drivers": "s_drivers",
+    "silver_items": "s_items", "silver_orders": "s_orders", "silver_order_items": "s_order_items",
+}
+
 _BODIES: dict[str, str] = {
     "src_capture_stream": _RAW,
     "bronze_raw": _RAW,
@@ -335,15 +342,8 @@ _BODIES: dict[str, str] = {
     "vw_gold_delivery_dashboard": _KPIS,
     "gold_restaurant_performance": _RESTAURANTS,
     "gold_item_category_metrics": _CATEGORIES,
-    "layer_row_counts": """
-        SELECT 'bronze_eventhub_capture_raw' AS table_name, count(*) AS rows FROM ev
-        UNION ALL SELECT 'bronze_delivery_batches', count(*) FROM ev
-        UNION ALL SELECT 'silver_clientes', count(*) FROM s_clientes
-        UNION ALL SELECT 'silver_restaurantes', count(*) FROM s_restaurantes
-        UNION ALL SELECT 'silver_drivers', count(*) FROM s_drivers
-        UNION ALL SELECT 'silver_items', count(*) FROM s_items
-        UNION ALL SELECT 'silver_orders', count(*) FROM s_orders
-        UNION ALL SELECT 'silver_order_items', count(*) FROM s_order_items
+    "layer_row_counts": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS rows FROM {rows}" for t, rows in _STORED.items()) + """
         UNION ALL SELECT 'gold_daily_delivery_kpis', count(*) FROM
           (SELECT DISTINCT order_date, tipo_pagamento FROM s_orders)
         UNION ALL SELECT 'gold_restaurant_performance', count(*) FROM
@@ -418,15 +418,11 @@ _BODIES: dict[str, str] = {
         for a in (0, 1)
         for t, rows, seq in (("bronze_eventhub_capture_raw", "ev", "seq"), ("bronze_delivery_batches", "ev", "seq"),
                              ("silver_orders", "s_orders", "batch_id"))),
-    "stream_rerun_idempotent": """
-        SELECT 'bronze_eventhub_capture_raw' AS table_name, count(*) AS rows FROM ev
-        UNION ALL SELECT 'bronze_delivery_batches', count(*) FROM ev
-        UNION ALL SELECT 'silver_orders', count(*) FROM s_orders
-        UNION ALL SELECT 'silver_order_items', count(*) FROM s_order_items""",
-    "stream_equals_batch": """
-        SELECT 'silver_orders' AS table_name, count(*) AS batch_rows, count(*) AS stream_rows, true AS same_content
-        FROM s_orders
-        UNION ALL SELECT 'silver_order_items', count(*), count(*), true FROM s_order_items""",
+    "stream_rerun_idempotent": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS rows FROM {rows}" for t, rows in _STORED.items()),
+    "stream_equals_batch": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS batch_rows, count(*) AS stream_rows, true AS same_content FROM {rows}"
+        for t, rows in _STORED.items() if t.startswith("silver")),
 }
 for _name in _FIRST:
     _table = f"silver_{_name}"

@@ -17,8 +17,9 @@ from marmita.plans.workspace import Workspace, workspace
 from marmita.rules import RULES
 from marmita.sources import cost_responses, feed, generator
 from marmita.sources.capture import path_attributes
+from marmita.sources.tables import dealt_out
 from marmita.streaming.runner import Lakehouse
-from marmita.tables import BRONZE_BATCHES, BRONZE_RAW
+from marmita.tables import BRONZE_BATCHES, BRONZE_RAW, SCHEMAS
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -330,7 +331,7 @@ def _(ws):
 # -- cost -----------------------------------------------------------------------
 
 def _usage(ws: Workspace) -> DataFrame:
-    return cost_responses.usage_rows(ws.table("lineitem"))
+    return cost_responses.usage_rows(dealt_out(ws.table("lineitem")))
 
 
 def _charges(ws: Workspace) -> DataFrame:
@@ -427,7 +428,7 @@ def _(ws):
 
 def _generated(ws: Workspace) -> DataFrame:
     """One batch per row of the event table."""
-    return generator.generate(ws.table("events"), "event_id", F.col("ts").cast("timestamp"))
+    return generator.generate(dealt_out(ws.table("events")), "event_id", F.col("ts").cast("timestamp"))
 
 
 @register("gen_batches")
@@ -499,7 +500,7 @@ def _(ws):
         _arrivals(ws).filter(F.col("arrival") == arrival).drop("arrival").write.mode("append").parquet(
             f"{source}-files")
         house.update_bronze()
-        house._run({"silver_orders": house.orders})
+        house.run("silver_orders")
         # Written out, so that the next update cannot change what this count sees.
         counted = maintenance.row_counts({
             t: house.read(t) for t in (BRONZE_RAW, BRONZE_BATCHES, "silver_orders")
@@ -513,21 +514,14 @@ def _(ws):
 def _(ws):
     """Rows after a second update without new files."""
     ws.lakehouse.update_bronze()
-    ws.lakehouse._run({"silver_orders": ws.lakehouse.orders})
-    ws.lakehouse._run({"silver_order_items": ws.lakehouse.order_items})
-    return maintenance.row_counts({
-        t: ws.lakehouse.read(t) for t in (BRONZE_RAW, BRONZE_BATCHES, "silver_orders", "silver_order_items")
-    })
+    ws.lakehouse.update_silver()
+    return maintenance.row_counts({t: ws.lakehouse.read(t) for t in SCHEMAS})
 
 
 @register("stream_equals_batch")
 def _(ws):
     """Content checksums of the streamed tables next to those of the batch form."""
-    streamed = {
-        "silver_orders": ws.lakehouse.read("silver_orders").drop("produtos"),
-        "silver_order_items": ws.lakehouse.read("silver_order_items"),
-    }
-    batch = {"silver_orders": ws.orders(), "silver_order_items": ws.order_items()}
+    batch = ws.silver()
 
     def checksum(df: DataFrame, name: str, columns: list[str], side: str) -> DataFrame:
         row = F.xxhash64(*columns).cast("decimal(20,0)")
@@ -537,7 +531,7 @@ def _(ws):
     result = None
     for name, df in batch.items():
         one = checksum(df, name, df.columns, "batch").join(
-            checksum(streamed[name], name, df.columns, "stream"), "table_name")
+            checksum(ws.lakehouse.read(name), name, df.columns, "stream"), "table_name")
         one = one.select(
             "table_name", "batch_rows", "stream_rows",
             (F.col("batch_sum") == F.col("stream_sum")).alias("same_content"))

@@ -17,6 +17,7 @@ from marmita.schemas import Keep, batches_ddl
 from marmita.session import shared_folder, use_utc
 from marmita.sources import feed
 from marmita.sources.capture import capture_rows, read_capture
+from marmita.sources.tables import read_table
 from marmita.streaming.runner import Lakehouse
 from marmita.tables import BRONZE_BATCHES, SCHEMAS
 
@@ -28,7 +29,7 @@ class Workspace:
         self.root = shared_folder(spark)
 
     def table(self, name: str) -> DataFrame:
-        return feed.table(self.spark, self.sf_dir, name)
+        return read_table(self.spark, self.sf_dir, name)
 
     def folder(self, name: str) -> str:
         return f"{self.root}/{name}"

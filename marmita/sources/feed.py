@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marmita.schemas import ENVELOPE_DDL
+from marmita.sources.tables import dealt_out, read_table
 
 PAYMENTS = ("PIX", "CARTÃO CREDITO", "CARTÃO DEBITO", "VOUCHER", "CHEQUE")
 CATEGORIES = ("Hamburguer", "Pizza", "Comida Japonesa", "Sobremesa", "Bebida", "Outros")
@@ -28,10 +29,6 @@ EPOCH = 1704067200  # 2024-01-01T00:00:00Z
 YEAR_SECONDS = 31536000
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
 def _pick(values: tuple[str, ...], number: str) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), F.expr(f"cast({number} % {len(values)} as int) + 1"))
 
@@ -208,7 +205,7 @@ def _order_events(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         _pick(PAYMENTS, "o_custkey").alias("tipo_pagamento"),
         F.col("created").alias("created_at"),
     )
-    sent = F.when(F.expr("o_orderkey % 211 = 0"), F.array(order, order)).otherwise(F.array(order))
+    sent = F.array_repeat(order, F.expr("if(o_orderkey % 211 = 0, 2, 1)"))
     rows = orders.join(
         lines_by_order(lineitem), F.col("o_orderkey") == F.col("l_orderkey"), "left",
     ).withColumn("created", F.expr(created))
@@ -218,12 +215,12 @@ def _order_events(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events of the given tables as capture envelopes."""
     def read(name: str) -> DataFrame:
-        return table(spark, sf_dir, name)
+        return read_table(spark, sf_dir, name)
 
     parts = [
         _client_events(read("customer"), read("nation")),
         _restaurant_events(read("supplier"), read("nation")),
-        _driver_events(read("events")),
+        _driver_events(dealt_out(read("events"))),
         _item_events(read("part")),
         _order_events(read("orders"), read("lineitem")),
     ]

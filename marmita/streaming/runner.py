@@ -4,18 +4,30 @@ Each table has its own query, checkpoint and folder, so a rerun continues where
 the last one stopped and a lost executor costs only its unfinished tasks.
 Streaming tables are written by the file sink, whose log makes reads see each
 micro-batch exactly once.
+
+The entity tables keep the first arrival of each key, in one of two ways:
+
+``arrival``  Each micro-batch is reduced to its first row per key by arrival
+             order, and keys claimed by earlier micro-batches are taken out by
+             an anti join.  Which row wins never depends on task timing, so the
+             table equals its batch form, and a key that fills a third of the
+             input is cut to one row per task before any shuffle.
+``state``    ``dropDuplicates`` with claimed keys in the state store; within one
+             micro-batch any row of a key may win.  Cheaper for many small
+             micro-batches, and ``dedup_horizon`` can bound its state.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marmita.operators import bronze, gold, maintenance, silver
 from marmita.operators.governance import tag_columns
-from marmita.operators.quality import Rules, warn
+from marmita.operators.quality import Rules, keep_valid, warn
 from marmita.rules import RULES
 from marmita.schemas import batches_ddl
 from marmita.sources.capture import capture_rows, stream_capture
@@ -29,8 +41,12 @@ class Lakehouse:
 
     def __init__(self, spark: SparkSession, root: str, source: str, source_format: str = "parquet",
                  table_format: str = "parquet", rules: Mapping[str, Rules] = RULES,
-                 validate_first: bool = False, dedup_orders: bool = False,
+                 validate_first: bool = False, dedup: str = "arrival", dedup_orders: bool = False,
                  dedup_horizon: str | None = None, source_options: Mapping[str, str] | None = None):
+        if dedup not in ("arrival", "state"):
+            raise ValueError(f"dedup is 'arrival' or 'state', not {dedup!r}")
+        if dedup_horizon and dedup != "state":
+            raise ValueError("dedup_horizon bounds the state store; it needs dedup='state'")
         self.spark = spark
         self.root = root.rstrip("/")
         self.source = source
@@ -38,6 +54,7 @@ class Lakehouse:
         self.table_format = table_format
         self.rules = RULES | dict(rules)
         self.validate_first = validate_first
+        self.dedup = dedup
         self.dedup_orders = dedup_orders
         self.dedup_horizon = dedup_horizon
         self.source_options = dict(source_options or {})
@@ -57,12 +74,16 @@ class Lakehouse:
     def checkpoint(self, table: str) -> str:
         return f"{self.root}/checkpoints/{table}"
 
+    def claims(self, table: str) -> str:
+        """First arrivals of an entity before its rules, one folder per micro-batch."""
+        return f"{self.root}/claims/{table}"
+
     def read(self, table: str, schema: str | None = None) -> DataFrame:
         """Batch read with classification tags.
 
         ``schema`` may narrow a nested table to the fields wanted.
         """
-        reader = self.spark.read.format(self.table_format)
+        reader = self.spark.read.format(self.table_format).option("recursiveFileLookup", "true")
         declared = schema or SCHEMAS.get(table)
         return tag_columns((reader.schema(declared) if declared else reader).load(self.path(table)), table)
 
@@ -76,6 +97,7 @@ class Lakehouse:
     # -- streams --------------------------------------------------------------
 
     def _append(self, table: str, df: DataFrame) -> StreamingQuery:
+        self.progress[table] = {"rows_read": 0, "rules": {}}
         return (
             df.writeStream.format(self.table_format).outputMode("append")
             .option("path", self.path(table))
@@ -83,6 +105,42 @@ class Lakehouse:
             .trigger(availableNow=True).start()
         )
 
+    def _claim_first_arrivals(self, entity: silver.Entity) -> StreamingQuery:
+        table, rules = entity.table, self.rules[entity.table]
+        self.progress[table] = {"rows_read": 0, "rules": {}}
+
+        def write_batch(batch: DataFrame, number: int) -> None:
+            """Safe to repeat: a micro-batch overwrites only its own folders and ignores its own claims."""
+            spark = batch.sparkSession
+            first = silver.first_arrivals(batch, entity, self.validate_first, rules)
+            if number > 0:
+                taken = (
+                    spark.read.format(self.table_format)
+                    .schema(f"{entity.key} STRING, claimed_in BIGINT").load(self.claims(table))
+                    .filter(F.col("claimed_in") < number).select(F.col(entity.key).alias("taken"))
+                )
+                first = first.join(taken, F.col(entity.key).eqNullSafe(F.col("taken")), "left_anti")
+            folder = f"{self.claims(table)}/claimed_in={number}"
+            first.write.mode("overwrite").format(self.table_format).save(folder)
+
+            counted = Observation()
+            claimed = spark.read.format(self.table_format).schema(first.schema).load(folder)
+            valid = keep_valid(warn(claimed, rules, counted), rules)
+            silver.stamped(valid).write.mode("overwrite").format(self.table_format).save(
+                f"{self.path(table)}/batch-{number:09d}")
+            self._add_counts(table, counted.get)
+
+        return (
+            self.follow(BRONZE_BATCHES, batches_ddl(entity.keep)).writeStream.foreachBatch(write_batch)
+            .option("checkpointLocation", self.checkpoint(table))
+            .trigger(availableNow=True).start()
+        )
+
+    def _add_counts(self, table: str, counts: Mapping[str, int]) -> None:
+        total = self.progress[table]["rules"]
+        for name, value in counts.items():
+            total[name] = total.get(name, 0) + value
+
     def _finish(self, queries: Mapping[str, StreamingQuery]) -> None:
         """Wait for all of them; the first failure is raised after the others ended."""
         failure = None
@@ -91,20 +149,33 @@ class Lakehouse:
                 query.awaitTermination()
             except Exception as error:  # noqa: BLE001 - re-raised below
                 failure = failure or error
-            observed: dict[str, int] = {}
-            rows = 0
             for progress in query.recentProgress:
-                rows += progress["numInputRows"]
+                self.progress[table]["rows_read"] += progress["numInputRows"]
                 for metrics in (progress.get("observedMetrics") or {}).values():
-                    counts = metrics if isinstance(metrics, dict) else metrics.asDict()
-                    for name, value in counts.items():
-                        observed[name] = observed.get(name, 0) + value
-            self.progress[table] = {"rows_read": rows, "rules": observed}
+                    self._add_counts(table, metrics if isinstance(metrics, dict) else metrics.asDict())
         if failure:
             raise failure
 
-    def _run(self, tables: Mapping[str, Callable[[], DataFrame]]) -> None:
-        self._finish({table: self._append(table, build()) for table, build in tables.items()})
+    def _streams(self) -> dict[str, Callable[[], StreamingQuery]]:
+        """How to start the stream of each table."""
+        built = {
+            BRONZE_RAW: self.bronze_raw,
+            BRONZE_BATCHES: self.bronze_batches,
+            "silver_orders": self.orders,
+            "silver_order_items": self.order_items,
+        }
+        streams = {table: (lambda t=table, b=build: self._append(t, b())) for table, build in built.items()}
+        for entity in silver.DEDUPLICATED:
+            if self.dedup == "arrival":
+                streams[entity.table] = lambda e=entity: self._claim_first_arrivals(e)
+            else:
+                streams[entity.table] = lambda e=entity: self._append(e.table, self.dimension(e))
+        return streams
+
+    def run(self, *tables: str) -> None:
+        """Bring these tables up to date side by side; they must not feed each other."""
+        streams = self._streams()
+        self._finish({table: streams[table]() for table in tables})
 
     def bronze_raw(self) -> DataFrame:
         return capture_rows(
@@ -115,35 +186,34 @@ class Lakehouse:
         return warn(parsed, self.rules[BRONZE_BATCHES], "rules")
 
     def dimension(self, entity: silver.Entity) -> DataFrame:
+        """Stream form with claimed keys in the state store."""
         batches = self.follow(BRONZE_BATCHES, batches_ddl(entity.keep))
         rules = self.rules[entity.table]
         if self.validate_first:
             return silver.stamped(silver.dimension(
                 batches, entity, True, rules, horizon=self.dedup_horizon))
         unchecked = silver.dimension(batches, entity, rules={}, horizon=self.dedup_horizon)
-        return silver.stamped(silver.keep_valid(warn(unchecked, rules, "rules"), rules))
+        return silver.stamped(keep_valid(warn(unchecked, rules, "rules"), rules))
 
     def orders(self) -> DataFrame:
         batches = self.follow(BRONZE_BATCHES, batches_ddl({"orders": None}))
         unchecked = silver.orders(batches, rules={}, dedup_orders=self.dedup_orders)
         rules = self.rules["silver_orders"]
-        return silver.stamped(silver.keep_valid(warn(unchecked, rules, "rules"), rules))
+        return silver.stamped(keep_valid(warn(unchecked, rules, "rules"), rules))
 
     def order_items(self) -> DataFrame:
         unchecked = silver.order_item_rows(self.follow("silver_orders"))
         rules = self.rules["silver_order_items"]
-        return silver.stamped(silver.keep_valid(warn(unchecked, rules, "rules"), rules))
+        return silver.stamped(keep_valid(warn(unchecked, rules, "rules"), rules))
 
     def update_bronze(self) -> None:
-        self._run({BRONZE_RAW: self.bronze_raw})
-        self._run({BRONZE_BATCHES: self.bronze_batches})
+        self.run(BRONZE_RAW)
+        self.run(BRONZE_BATCHES)
 
     def update_silver(self) -> None:
         """The five entity streams run side by side; order items follow the orders."""
-        streams = {e.table: (lambda e=e: self.dimension(e)) for e in silver.DEDUPLICATED}
-        streams["silver_orders"] = self.orders
-        self._run(streams)
-        self._run({"silver_order_items": self.order_items})
+        self.run(*(e.table for e in silver.DEDUPLICATED), "silver_orders")
+        self.run("silver_order_items")
 
     # -- gold -----------------------------------------------------------------
 
@@ -174,7 +244,8 @@ class Lakehouse:
     def register(self, schema: str = "default") -> None:
         """Catalog tables over the stored folders, for SQL users and views."""
         for table in (*SCHEMAS, *GOLD_TABLES):
+            columns = f"({SCHEMAS[table]}) " if table in SCHEMAS else ""
             self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {schema}.{table} USING {self.table_format} "
-                f"LOCATION '{self.path(table)}'")
+                f"CREATE TABLE IF NOT EXISTS {schema}.{table} {columns}USING {self.table_format} "
+                f"OPTIONS (recursiveFileLookup 'true') LOCATION '{self.path(table)}'")
             self.spark.catalog.refreshTable(f"{schema}.{table}")

@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import json
+from datetime import date
+from decimal import Decimal
+
+import pytest
+
+from marmita.jobs import run_cost
+from marmita.operators import cost
+from marmita.sources.cost_responses import COST_COLUMNS, reshape_responses
+
+NAMES = list(COST_COLUMNS)
+
+
+def reply(*rows, names=NAMES):
+    return json.dumps({"properties": {"columns": [{"name": n, "type": "t"} for n in names], "rows": list(rows)}})
+
+
+def usage(day=20240510, amount=1.5, resource="r1", group="g", service="s"):
+    return [day, amount, resource, "vm", group, service, "m", "sub", "BRL"]
+
+
+def typed(spark, *documents):
+    return cost.detail(reshape_responses(spark.createDataFrame([(d,) for d in documents], "body_json string")), "sub-1")
+
+
+def test_reshape_edge_cases(spark):
+    documents = [
+        reply(usage(amount=None), usage(amount="free"), usage(day="2024-05-10"), usage(amount=12.3456789)),
+        reply([20240511, "r9"], names=["UsageDate", "ResourceId"]),
+        reply(), "{}", "not json",
+    ]
+    rows = typed(spark, *documents).collect()
+    assert [r.pretax_cost for r in rows] == [
+        Decimal(0), None, Decimal("1.5"), Decimal("12.345679"), Decimal(0)]
+    assert [r.usage_date for r in rows] == [date(2024, 5, 10)] * 2 + [None, date(2024, 5, 10), date(2024, 5, 11)]
+    assert rows[4].resource_id == "r9" and rows[4].service_name is None and rows[0].subscription_id == "sub-1"
+
+
+def test_short_row_gives_nulls(spark):
+    row, = reshape_responses(spark.createDataFrame([(reply([20240510, 2]),)], "body_json string")).collect()
+    assert (row.usage_date, row.pretax_cost, row.currency) == ("2024-05-10", "2", None)
+
+
+@pytest.fixture
+def detail(spark):
+    rows = [usage(20240501 + i % 30, i, f"r{i % 4}", f"g{i % 2}", f"s{i % 3}") for i in range(60)]
+    return typed(spark, reply(*rows))
+
+
+def test_summary_and_resource_totals(detail):
+    assert cost.summary_daily(detail).agg({"total_cost": "sum"}).first()[0] == Decimal(sum(range(60)))
+    assert cost.by_resource_daily(detail).agg({"pretax_cost": "sum"}).first()[0] == Decimal(sum(range(60)))
+
+
+def test_look_back_and_last_day(detail):
+    days = {r.usage_date for r in cost.look_back(detail, 3).collect()}
+    assert days == {date(2024, 5, d) for d in (27, 28, 29, 30)}
+    assert cost.look_back(detail, 0, date(2024, 5, 2)).count() == 2
+
+
+def test_top_resources_break_ties_by_id(spark):
+    df = typed(spark, reply(*(usage(resource=r, amount=a) for r, a in (("b", 5), ("a", 5), ("c", 9), ("d", 1)))))
+    assert [(r.resource_id, r.cost_rank) for r in cost.top_resources(df, 3).collect()] == [("c", 1), ("a", 2), ("b", 3)]
+
+
+def test_variation_has_no_rate_from_nothing(spark):
+    rows = [usage(20240510, 30), usage(20240503, 20), usage(20240510, 4, service="new")]
+    found = {r.service_name: r for r in cost.variation(typed(spark, reply(*rows)), 7).collect()}
+    assert found["s"].pct_change == 0.5 and found["new"].pct_change is None
+    assert found["new"].previous_cost == 0
+
+
+def test_rolling_counts_calendar_days(spark):
+    rows = [usage(20240501, 1), usage(20240507, 2), usage(20240508, 4)]
+    found = {str(r.usage_date): r.rolling_cost for r in cost.rolling(typed(spark, reply(*rows)), 7).collect()}
+    assert found == {"2024-05-01": 1, "2024-05-07": 3, "2024-05-08": 6}
+
+
+def test_cost_job(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(reply(usage(20240510, 2), usage(20240509, 3)))
+    (tmp_path / "in" / "b.json").write_text(reply(usage(20240301, 50)))
+    spark.sql(f"CREATE SCHEMA costs LOCATION '{tmp_path}/costs'")
+    for _ in range(2):
+        result = run_cost(spark, str(tmp_path / "in"), "sub-1", "costs", location=str(tmp_path / "out"))
+    assert [(str(r.usage_date), r.total_cost) for r in result.collect()] == [
+        ("2024-05-10", Decimal(2)), ("2024-05-09", Decimal(3))]
+    assert spark.table("costs.azure_cost_by_resource_daily").count() == 2
