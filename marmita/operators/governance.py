@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marmita.functions.masks import hidden, initial_only, last_four, last_four_strict, pseudonym
+from marmita.functions.masks import hidden, initial_only, last_four_strict, pseudonym
 
 # Classification of tables and columns.  Bronze and menu items
 # are ours; without them raw bodies full of personal data would be untagged.
@@ -44,67 +44,42 @@ ANALYST_MASKS: Mapping[str, Callable[[Column], Column] | None] = {
     "FINANCIAL": None,
 }
 
-ORDER_VIEW_COLUMNS = (
-    "order_id", "restaurant_id", "quantidade_total", "valor_total", "tipo_pagamento", "order_date",
-    "order_year", "order_month", "order_day", "order_hour", "amount_category",
-)
-
-
-def clients_for_analysts(clients: DataFrame) -> DataFrame:
-    return clients.select(
-        "client_id",
-        initial_only(F.col("nome")).alias("nome"),
-        last_four(F.col("cpf")).alias("cpf_mascarado"),
-        "tipo_pagamento",
-        "created_at",
-    )
-
-
-def drivers_for_analysts(drivers: DataFrame) -> DataFrame:
-    return drivers.select(
-        "driver_id",
-        initial_only(F.col("nome")).alias("nome"),
-        "veiculo",
-        last_four(F.col("placa"), "***-").alias("placa_mascarada"),
-        "created_at",
-    )
-
-
-def orders_for_analytics(orders: DataFrame) -> DataFrame:
-    return orders.select(*ORDER_VIEW_COLUMNS)
-
+# What the governed views show.  view -> (table, {column: SQL expression})
+_INITIAL = "substr(nome, 1, 1) || '***'"
+VIEWS = {
+    "vw_clientes_analyst": ("silver_clientes", {
+        "client_id": "client_id", "nome": _INITIAL, "cpf_mascarado": "'***' || substr(cpf, -4)",
+        "tipo_pagamento": "tipo_pagamento", "created_at": "created_at",
+    }),
+    "vw_drivers_analyst": ("silver_drivers", {
+        "driver_id": "driver_id", "nome": _INITIAL, "veiculo": "veiculo",
+        "placa_mascarada": "'***-' || substr(placa, -4)", "created_at": "created_at",
+    }),
+    "vw_orders_analytics": ("silver_orders", {name: name for name in (
+        "order_id", "restaurant_id", "quantidade_total", "valor_total", "tipo_pagamento", "order_date",
+        "order_year", "order_month", "order_day", "order_hour", "amount_category",
+    )}),
+    "vw_gold_delivery_dashboard": ("gold_daily_delivery_kpis", {}),
+}
 
-def dashboard(daily_kpis: DataFrame) -> DataFrame:
-    return daily_kpis.select("*")
 
+def _projection(view: str) -> list[str]:
+    columns = VIEWS[view][1]
+    return [f"{expression} AS {name}" for name, expression in columns.items()] or ["*"]
 
-# view name -> (table it reads, projection)
-VIEWS = {
-    "vw_clientes_analyst": ("silver_clientes", clients_for_analysts),
-    "vw_drivers_analyst": ("silver_drivers", drivers_for_analysts),
-    "vw_orders_analytics": ("silver_orders", orders_for_analytics),
-    "vw_gold_delivery_dashboard": ("gold_daily_delivery_kpis", dashboard),
-}
 
-# The same views as stored SQL, for a catalog that outlives the session.
-VIEW_SQL = {
-    "vw_clientes_analyst":
-        "SELECT client_id, substr(nome, 1, 1) || '***' AS nome, '***' || substr(cpf, -4) AS cpf_mascarado, "
-        "tipo_pagamento, created_at FROM {schema}.silver_clientes",
-    "vw_drivers_analyst":
-        "SELECT driver_id, substr(nome, 1, 1) || '***' AS nome, veiculo, '***-' || substr(placa, -4) AS "
-        "placa_mascarada, created_at FROM {schema}.silver_drivers",
-    "vw_orders_analytics":
-        "SELECT " + ", ".join(ORDER_VIEW_COLUMNS) + " FROM {schema}.silver_orders",
-    "vw_gold_delivery_dashboard": "SELECT * FROM {schema}.gold_daily_delivery_kpis",
-}
+def governed(view: str, table: DataFrame) -> DataFrame:
+    """What ``view`` shows of a DataFrame holding its table."""
+    return table.selectExpr(*_projection(view))
 
 
 def create_views(spark: SparkSession, schema: str, governance_schema: str) -> list[str]:
     """Stored views over the catalog tables of ``schema``."""
-    for view, sql in VIEW_SQL.items():
-        spark.sql(f"CREATE OR REPLACE VIEW {governance_schema}.{view} AS {sql.format(schema=schema)}")
-    return list(VIEW_SQL)
+    for view, (table, _) in VIEWS.items():
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {governance_schema}.{view} AS "
+            f"SELECT {', '.join(_projection(view))} FROM {schema}.{table}")
+    return list(VIEWS)
 
 
 def tag_columns(df: DataFrame, table: str, tags: Mapping[str, Mapping[str, str]] = COLUMN_TAGS) -> DataFrame:

@@ -26,6 +26,15 @@ def retained(df: DataFrame, layer: str, day: str, as_of: date | str,
     return df.filter(F.col(day).isNull() | (F.col(day) >= oldest))
 
 
+def rewrite_retained(spark: SparkSession, source: str, target: str, layer: str, day: str,
+                     as_of: date | str, fmt: str = "parquet",
+                     days: Mapping[str, int] = RETENTION_DAYS) -> DataFrame:
+    """Store the rows still to be kept in a new folder; no shuffle, the day filter reaches the scan."""
+    kept = retained(spark.read.format(fmt).option("recursiveFileLookup", "true").load(source), layer, day, as_of, days)
+    kept.write.format(fmt).mode("errorifexists").save(target)
+    return spark.read.format(fmt).load(target)
+
+
 def clustered(df: DataFrame, keys: tuple[str, ...], files: int | None = None) -> DataFrame:
     """Range-partitioned and sorted by ``keys``, so parquet statistics skip files.
 
@@ -72,7 +81,8 @@ def compact(spark: SparkSession, source: str, target: str, fmt: str = "parquet",
         "spark.sql.files.openCostInBytes": "0",
         "spark.sql.files.minPartitionNum": "1",
     }):
-        spark.read.format(fmt).load(source).write.format(fmt).mode("errorifexists").save(target)
+        whole = spark.read.format(fmt).option("recursiveFileLookup", "true").load(source)
+        whole.write.format(fmt).mode("errorifexists").save(target)
     return spark.read.format(fmt).load(target)
 
 

@@ -253,24 +253,14 @@ def _(ws):
 
 # -- governance -----------------------------------------------------------------
 
-@register("vw_clientes_analyst")
-def _(ws):
-    return governance.clients_for_analysts(ws.dimension(silver.CLIENTES))
-
-
-@register("vw_drivers_analyst")
-def _(ws):
-    return governance.drivers_for_analysts(ws.dimension(silver.DRIVERS))
+def _register_view(view: str, table: Callable[[Workspace], DataFrame]) -> None:
+    register(view)(lambda ws: governance.governed(view, table(ws)))
 
 
-@register("vw_orders_analytics")
-def _(ws):
-    return governance.orders_for_analytics(ws.orders())
-
-
-@register("vw_gold_delivery_dashboard")
-def _(ws):
-    return governance.dashboard(ws.gold()["gold_daily_delivery_kpis"])
+_register_view("vw_clientes_analyst", lambda ws: ws.dimension(silver.CLIENTES))
+_register_view("vw_drivers_analyst", lambda ws: ws.dimension(silver.DRIVERS))
+_register_view("vw_orders_analytics", lambda ws: ws.orders())
+_register_view("vw_gold_delivery_dashboard", lambda ws: ws.gold()["gold_daily_delivery_kpis"])
 
 
 @register("mask_by_tag")

@@ -40,7 +40,7 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local-mode session may fall back to a temporary directory, because
     only there is the driver's disk also the executors' disk.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")

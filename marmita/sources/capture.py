@@ -8,6 +8,20 @@ from pyspark.sql import functions as F
 from marmita.functions.casts import body_text, bus_timestamp
 from marmita.schemas import ENVELOPE_DDL
 
+# Envelope and file attributes under the names of our raw table, in its order.
+BUS_FIELDS = {
+    "SequenceNumber": "sequence_number",
+    "Offset": "eventhub_offset",
+    "EnqueuedTimeUtc": "enqueued_time_utc",
+    "SystemProperties": "system_properties",
+    "Properties": "event_properties",
+    "Body": "body_json",
+}
+FILE_FIELDS = {
+    "file_path": "source_file",
+    "file_modification_time": "source_file_modification_time",
+}
+
 # {namespace}/{hub}/{partition}/{year}/{month}/{day}/{hour}/{minute}/{second}.{extension}
 CAPTURE_PATH = r"([^/]+)/([^/]+)/(\d+)/(\d{4})/(\d{2})/(\d{2})/(\d{2})/(\d{2})/(\d{2})[^/]*$"
 
@@ -34,22 +48,13 @@ def stream_capture(spark: SparkSession, path: str, fmt: str = "parquet", **optio
 
 def capture_rows(envelopes: DataFrame, audit: bool = True) -> DataFrame:
     """Envelope projection: bus fields, decoded body, file lineage and ingestion time."""
-    columns = [
-        F.col("SequenceNumber").alias("sequence_number"),
-        F.col("Offset").alias("eventhub_offset"),
-        bus_timestamp(F.col("EnqueuedTimeUtc")).alias("enqueued_time_utc"),
-        F.col("SystemProperties").alias("system_properties"),
-        F.col("Properties").alias("event_properties"),
-        body_text(F.col("Body")).alias("body_json"),
-        F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_modification_time").alias("source_file_modification_time"),
-    ]
-    if audit:
-        columns += [
-            F.current_timestamp().alias("bronze_ingestion_time"),
-            F.current_date().alias("ingestion_date"),
-        ]
-    return envelopes.select(*columns)
+    bus = {ours: F.col(theirs) for theirs, ours in BUS_FIELDS.items()}
+    bus["enqueued_time_utc"] = bus_timestamp(bus["enqueued_time_utc"])
+    bus["body_json"] = body_text(bus["body_json"])
+    lineage = {ours: F.col(f"_metadata.{theirs}") for theirs, ours in FILE_FIELDS.items()}
+    ingestion = {"bronze_ingestion_time": F.current_timestamp(), "ingestion_date": F.current_date()}
+    columns = bus | lineage | (ingestion if audit else {})
+    return envelopes.select(*(column.alias(name) for name, column in columns.items()))
 
 
 def path_attributes(path: Column) -> dict[str, Column]:

@@ -16,12 +16,18 @@ def test_masks(spark):
 
 def test_views_leave_out_what_they_should(batches):
     source = batches(payload(clientes=[client()], drivers=[driver()]))
-    view = governance.clients_for_analysts(silver.dimension(source, silver.CLIENTES))
+    view = governance.governed("vw_clientes_analyst", silver.dimension(source, silver.CLIENTES))
     assert view.columns == ["client_id", "nome", "cpf_mascarado", "tipo_pagamento", "created_at"]
-    row = governance.drivers_for_analysts(silver.dimension(source, silver.DRIVERS)).first()
+    row = governance.governed("vw_drivers_analyst", silver.dimension(source, silver.DRIVERS)).first()
     assert (row.nome, row.placa_mascarada) == ("D***", "***-1234")
 
 
+def test_view_masks_of_null_and_short_names(batches):
+    source = batches(payload(clientes=[client(nome=None), client("C2", nome="Z")]))
+    shown = governance.governed("vw_clientes_analyst", silver.dimension(source, silver.CLIENTES)).collect()
+    assert {r.client_id: r.nome for r in shown} == {"C1": None, "C2": "Z***"}
+
+
 def test_every_tagged_text_column_is_masked(batches, tmp_path, spark):
     tagged = governance.tag_columns(
         silver.dimension(batches(payload(clientes=[client()])), silver.CLIENTES), "silver_clientes")
