@@ -320,24 +320,23 @@ def _(ws):
 
 # -- cost -----------------------------------------------------------------------
 
-def _usage(ws: Workspace) -> DataFrame:
-    return cost_responses.usage_rows(dealt_out(ws.table("lineitem")))
-
-
 def _charges(ws: Workspace) -> DataFrame:
     """Every raw charge, typed."""
-    return cost.detail(cost_responses.text_rows(_usage(ws)), SUBSCRIPTION)
+    return cost.detail(cost_responses.usage_rows(dealt_out(ws.table("lineitem"))), SUBSCRIPTION)
+
+
+def _reshaped(ws: Workspace) -> DataFrame:
+    return cost_responses.reshape_responses(cost_responses.saved_responses(dealt_out(ws.table("lineitem"))))
 
 
 @register("cost_reshape")
 def _(ws):
-    return cost_responses.reshape_responses(cost_responses.saved_responses(_usage(ws)))
+    return _reshaped(ws)
 
 
 @register("cost_detail")
 def _(ws):
-    replies = cost_responses.saved_responses(_usage(ws))
-    return cost.detail(cost_responses.reshape_responses(replies), SUBSCRIPTION)
+    return cost.detail(_reshaped(ws), SUBSCRIPTION)
 
 
 @register("cost_by_resource_daily")

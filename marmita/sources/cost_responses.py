@@ -21,11 +21,19 @@ COST_COLUMNS = {
 }
 
 
+def _cleaned(columns: dict[str, Column]) -> list[Column]:
+    """A missing or null cost is ``0``; the date goes from ``yyyyMMdd`` to ISO, a malformed one to null."""
+    columns = columns | {
+        "usage_date": F.try_to_date(columns["usage_date"], "yyyyMMdd").cast("string"),
+        "pretax_cost": F.coalesce(columns["pretax_cost"], F.lit("0")),
+    }
+    return [column.alias(name) for name, column in columns.items()]
+
+
 def reshape_responses(responses: DataFrame, body: str = "body_json") -> DataFrame:
     """Column list plus row arrays -> one all-text row per cost line.
 
-    A column the reply does not carry is null; a missing or null cost is ``0``;
-    the date goes from ``yyyyMMdd`` to ISO, a malformed one to null.
+    A column the reply does not carry is null.
     """
     lines = (
         responses.select(F.from_json(body, COST_RESPONSE_DDL).alias("reply"))
@@ -38,60 +46,70 @@ def reshape_responses(responses: DataFrame, body: str = "body_json") -> DataFram
     def value(name: str) -> Column:
         return F.get("line", (F.array_position("names", F.lit(name)) - 1).cast("int"))
 
-    columns = {ours: value(theirs) for theirs, ours in COST_COLUMNS.items()}
-    columns["usage_date"] = F.try_to_date(columns["usage_date"], "yyyyMMdd").cast("string")
-    columns["pretax_cost"] = F.coalesce(columns["pretax_cost"], F.lit("0"))
-    return lines.select(*(column.alias(name) for name, column in columns.items()))
+    return lines.select(*_cleaned({ours: value(theirs) for theirs, ours in COST_COLUMNS.items()}))
+
+
+# The given line items as raw usage, all text: per line one resource and two charges (base, tax).
+# On purpose some dates are malformed, some costs missing or not a number.
+_RESOURCE = {
+    "UsageDate": "if(l_orderkey % 83 = 0, '199x0231', date_format(l_shipdate, 'yyyyMMdd'))",
+    "ResourceId": "'res-' || cast(l_partkey as string)",
+    "ResourceType": "'type-' || cast(l_partkey % 6 as string)",
+    "ResourceGroupName": "'rg-' || cast(l_suppkey % 20 as string)",
+    "ServiceName": "'svc-' || cast(l_suppkey % 5 as string)",
+    "MeterCategory": "l_returnflag",
+    "Currency": "'BRL'",
+}
+_CHARGES = {
+    "base": "l_extendedprice",
+    "tax": "cast(round(l_extendedprice * l_tax * 100) as bigint) / 100D",
+}
+_NO_COST_COLUMN = "l_orderkey % 194 = 0"
+
+
+def _charges() -> Column:
+    def charge(meter: str, amount: str) -> Column:
+        cost = (
+            "case when l_orderkey % 97 = 0 then null when l_orderkey % 89 = 0 then 'n/a' "
+            f"else cast(cast({amount} as decimal(18,6)) as string) end"
+        )
+        return F.struct(
+            F.expr(cost).alias("PreTaxCost"),
+            F.concat(F.col("l_linestatus"), F.lit(f"-{meter}")).alias("MeterSubcategory"),
+        )
+
+    return F.array(*(charge(meter, amount) for meter, amount in _CHARGES.items()))
 
 
 def usage_rows(lineitem: DataFrame) -> DataFrame:
-    """Line items as raw usage: two all-text charges (base and tax) per line.
+    """Raw usage as one all-text row per charge, under our column names.
 
-    On purpose some dates are malformed, some costs missing or not a number.
+    Unnesting comes first: the narrow line items are doubled, not the text made of them.
     """
-    def amount(expr: str) -> str:
-        return f"cast(cast({expr} as decimal(18,6)) as string)"
-
-    charges = F.expr(
-        "array("
-        f"struct({amount('l_extendedprice')} as cost, l_linestatus || '-base' as meter), "
-        f"struct({amount('cast(round(l_extendedprice * l_tax * 100) as bigint) / 100D')} as cost, "
-        "l_linestatus || '-tax' as meter))"
-    )
-    return lineitem.withColumn("charge", F.explode(charges)).select(
-        F.expr("if(l_orderkey % 83 = 0, '199x0231', date_format(l_shipdate, 'yyyyMMdd'))").alias("UsageDate"),
-        F.expr(
-            "case when l_orderkey % 97 = 0 then null when l_orderkey % 89 = 0 then 'n/a' else charge.cost end"
-        ).alias("PreTaxCost"),
-        F.expr("'res-' || cast(l_partkey as string)").alias("ResourceId"),
-        F.expr("'type-' || cast(l_partkey % 6 as string)").alias("ResourceType"),
-        F.expr("'rg-' || cast(l_suppkey % 20 as string)").alias("ResourceGroupName"),
-        F.expr("'svc-' || cast(l_suppkey % 5 as string)").alias("ServiceName"),
-        F.col("l_returnflag").alias("MeterCategory"),
-        F.col("charge.meter").alias("MeterSubcategory"),
-        F.lit("BRL").alias("Currency"),
-        F.expr("l_orderkey % 97 = 0 and l_orderkey % 2 = 0").alias("cost_left_out"),
-    )
-
+    charged = lineitem.select("*", F.inline(_charges()))
+    theirs = {name: F.expr(expression) for name, expression in _RESOURCE.items()}
+    theirs |= {name: F.col(name) for name in ("PreTaxCost", "MeterSubcategory")}
+    return charged.select(*_cleaned({ours: theirs[name] for name, ours in COST_COLUMNS.items()}))
 
-def text_rows(usage: DataFrame) -> DataFrame:
-    """Raw usage under our column names, still all text."""
-    renamed = {ours: F.col(theirs) for theirs, ours in COST_COLUMNS.items()}
-    renamed["usage_date"] = F.try_to_date(renamed["usage_date"], "yyyyMMdd").cast("string")
-    renamed["pretax_cost"] = F.coalesce(renamed["pretax_cost"], F.lit("0"))
-    return usage.select(*(column.alias(name) for name, column in renamed.items()))
 
+def saved_responses(lineitem: DataFrame) -> DataFrame:
+    """Raw usage as one reply document per line item; some replies carry no cost column at all."""
+    resource = {name: F.expr(expression) for name, expression in _RESOURCE.items()}
 
-def saved_responses(usage: DataFrame) -> DataFrame:
-    """One reply document per usage row; some replies carry no cost column at all."""
     def reply(names: list[str]) -> Column:
+        def line(charge: Column) -> Column:
+            return F.array(*(F.col(n) if n in resource else charge[n] for n in names))
+
         return F.to_json(F.struct(F.struct(
             F.array(*(F.struct(F.lit(n).alias("name"), F.lit("any").alias("type")) for n in names)).alias("columns"),
-            F.array(F.array(*(F.col(n) for n in names))).alias("rows"),
+            F.transform("charges", line).alias("rows"),
         ).alias("properties")))
 
     names = list(COST_COLUMNS)
     without_cost = [n for n in names if n != "PreTaxCost"]
-    return usage.select(
+    return lineitem.select(
+        *(column.alias(name) for name, column in resource.items()),
+        _charges().alias("charges"), F.expr(_NO_COST_COLUMN).alias("cost_left_out"),
+    ).select(
         F.when(F.col("cost_left_out"), reply(without_cost)).otherwise(reply(names)).alias("body_json")
     )

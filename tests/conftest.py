@@ -18,7 +18,7 @@ from marmita.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     scratch = tmp_path_factory.mktemp("spark")
     session = build_session("marmita-tests", "local[*]", **{
-        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.shuffle.partitions": "4",
         "spark.driver.memory": "6g",
         "spark.sql.warehouse.dir": str(scratch / "warehouse"),
         "spark.ui.showConsoleProgress": "false",
