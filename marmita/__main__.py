@@ -30,6 +30,7 @@ def arguments() -> argparse.ArgumentParser:
     update.add_argument("--validate-first", action="store_true")
     update.add_argument("--dedup", choices=("arrival", "state"), default="arrival")
     update.add_argument("--dedup-orders", action="store_true")
+    update.add_argument("--keep-rejected", action="store_true")
 
     cost = jobs_of.add_parser("cost", help="cost tables from saved replies")
     cost.add_argument("--responses", required=True)
@@ -58,7 +59,8 @@ def main(argv: list[str] | None = None) -> None:
         options = {"maxFilesPerTrigger": args.max_files} if args.max_files else {}
         house = jobs.run_update(
             spark, args.root, args.source, source_format=args.source_format, validate_first=args.validate_first,
-            dedup=args.dedup, dedup_orders=args.dedup_orders, source_options=options)
+            dedup=args.dedup, dedup_orders=args.dedup_orders, keep_rejected=args.keep_rejected,
+            source_options=options)
         for table, progress in house.progress.items():
             print(table, progress)
     elif args.job == "cost":

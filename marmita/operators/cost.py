@@ -106,6 +106,6 @@ def rolling(cost_detail: DataFrame, days: int = 7, by: str = "service_name") ->
 
 
 def write_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None) -> None:
-    """Full replace of a catalog table."""
-    writer = df.write.mode("overwrite").format(fmt)
+    """Full replace of a catalog table; AQE sizes the files, splitting large and merging small ones."""
+    writer = df.hint("rebalance").write.mode("overwrite").format(fmt)
     (writer.option("path", path) if path else writer).saveAsTable(name)

@@ -240,6 +240,10 @@ def _broken(table: str) -> str:
     return f"concat_ws(',', {names})"
 
 
+def _broken_count(table: str) -> str:
+    return " + ".join(f"CAST(NOT {_rule(p)} AS INTEGER)" for p in RULES[table].values())
+
+
 def _total(columns: str) -> str:
     return f"SELECT {columns}, CAST(sum(pretax_cost) AS DECIMAL(18,6)) AS total_cost FROM charges GROUP BY {columns}"
 
@@ -270,6 +274,13 @@ _STORED = {
     "silver_items": "s_items", "silver_orders": "s_orders", "silver_order_items": "s_order_items",
 }
 
+# silver table -> its rows before the rules
+_UNCHECKED = {
+    "silver_clientes": "claimed_clientes", "silver_restaurantes": "claimed_restaurantes",
+    "silver_drivers": "claimed_drivers", "silver_items": "claimed_items",
+    "silver_orders": "ord_outer", "silver_order_items": "oi_outer",
+}
+
 _BODIES: dict[str, str] = {
     "src_capture_stream": _RAW,
     "bronze_raw": _RAW,
@@ -420,6 +431,13 @@ _BODIES: dict[str, str] = {
                              ("silver_orders", "s_orders", "batch_id"))),
     "stream_rerun_idempotent": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS rows FROM {rows}" for t, rows in _STORED.items()),
+    "stream_dedup_state": " UNION ALL ".join(
+        f"SELECT 'silver_{n}' AS table_name, count(DISTINCT {key}) AS rows, count(DISTINCT {key}) AS keys FROM {rows}"
+        for n, (rows, key, _) in _FIRST.items()),
+    "stream_rejected": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS rows, CAST(sum({_broken_count(t)}) AS BIGINT) AS broken_rules "
+        f"FROM {rows} WHERE NOT ({_all_rules(t)})"
+        for t, rows in _UNCHECKED.items()),
     "stream_equals_batch": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS batch_rows, count(*) AS stream_rows, true AS same_content FROM {rows}"
         for t, rows in _STORED.items() if t.startswith("silver")),

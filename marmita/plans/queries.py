@@ -18,7 +18,7 @@ from marmita.rules import RULES
 from marmita.sources import cost_responses, feed, generator
 from marmita.sources.capture import path_attributes
 from marmita.sources.tables import dealt_out
-from marmita.streaming.runner import Lakehouse
+from marmita.streaming.runner import SILVER, Lakehouse, rejected
 from marmita.tables import BRONZE_BATCHES, BRONZE_RAW, SCHEMAS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -507,6 +507,39 @@ def _(ws):
     return maintenance.row_counts({t: ws.lakehouse.read(t) for t in SCHEMAS})
 
 
+@register("stream_dedup_state")
+def _(ws):
+    """Dedup by the state store: stored rows and distinct keys per entity, null keys dropped."""
+    rules = {e.table: {"has_key": f"{e.key} IS NOT NULL"} for e in ENTITIES.values()}
+    house = Lakehouse(
+        ws.spark, ws.folder(f"state-{uuid.uuid4().hex[:8]}"), ws.landing, rules=rules, dedup="state")
+    house.update_bronze()
+    house.run(*rules)
+    counts = None
+    for entity in ENTITIES.values():
+        one = house.read(entity.table).agg(
+            F.count(F.lit(1)).alias("rows"), F.count_distinct(F.col(entity.key)).alias("keys"))
+        one = one.select(F.lit(entity.table).alias("table_name"), "rows", "keys")
+        counts = one if counts is None else counts.unionByName(one)
+    return counts
+
+
+@register("stream_rejected")
+def _(ws):
+    """Rows the silver rules refuse, as kept by the streams, and how many rules they break."""
+    house = Lakehouse(
+        ws.spark, ws.folder(f"rejected-{uuid.uuid4().hex[:8]}"), ws.landing, keep_rejected=True)
+    house.update_bronze()
+    house.update_silver()
+    counts = None
+    for table in SILVER:
+        one = house.read(rejected(table)).agg(
+            F.count(F.lit(1)).alias("rows"), F.sum(F.array_size("failed_rules")).alias("broken_rules"))
+        one = one.select(F.lit(table).alias("table_name"), "rows", "broken_rules")
+        counts = one if counts is None else counts.unionByName(one)
+    return counts
+
+
 @register("stream_equals_batch")
 def _(ws):
     """Content checksums of the streamed tables next to those of the batch form."""

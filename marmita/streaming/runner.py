@@ -27,22 +27,32 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marmita.operators import bronze, gold, maintenance, silver
 from marmita.operators.governance import tag_columns
-from marmita.operators.quality import Rules, keep_valid, warn
+from marmita.operators.quality import Rules, keep_valid, quarantine, warn
 from marmita.rules import RULES
 from marmita.schemas import batches_ddl
 from marmita.sources.capture import capture_rows, stream_capture
 from marmita.tables import BRONZE_BATCHES, BRONZE_RAW, GOLD_TABLES, SCHEMAS
 
+SILVER = tuple(table for table in SCHEMAS if table.startswith("silver_"))
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def rejected(table: str) -> str:
+    """Name of the table that keeps what ``table`` refuses, with the rules each row breaks."""
+    return f"rejected_{table}"
+
+
 class Lakehouse:
-    """Tables below ``root``, fed by the archive at ``source``."""
+    """Tables below ``root``, fed by the archive at ``source``.
+
+    ``keep_rejected`` also stores the rows the silver rules drop.
+    """
 
     def __init__(self, spark: SparkSession, root: str, source: str, source_format: str = "parquet",
                  table_format: str = "parquet", rules: Mapping[str, Rules] = RULES,
                  validate_first: bool = False, dedup: str = "arrival", dedup_orders: bool = False,
-                 dedup_horizon: str | None = None, source_options: Mapping[str, str] | None = None):
+                 dedup_horizon: str | None = None, keep_rejected: bool = False,
+                 source_options: Mapping[str, str] | None = None):
         if dedup not in ("arrival", "state"):
             raise ValueError(f"dedup is 'arrival' or 'state', not {dedup!r}")
         if dedup_horizon and dedup != "state":
@@ -57,6 +67,7 @@ class Lakehouse:
         self.dedup = dedup
         self.dedup_orders = dedup_orders
         self.dedup_horizon = dedup_horizon
+        self.keep_rejected = keep_rejected
         self.source_options = dict(source_options or {})
         # Progress figures of the last update: table -> rows read and rule counts.
         self.progress: dict[str, dict] = {}
@@ -126,8 +137,12 @@ class Lakehouse:
             counted = Observation()
             claimed = spark.read.format(self.table_format).schema(first.schema).load(folder)
             valid = keep_valid(warn(claimed, rules, counted), rules)
-            silver.stamped(valid).write.mode("overwrite").format(self.table_format).save(
-                f"{self.path(table)}/batch-{number:09d}")
+            outputs = {table: valid}
+            if self.keep_rejected:
+                outputs[rejected(table)] = quarantine(claimed, rules)
+            for name, rows in outputs.items():
+                silver.stamped(rows).write.mode("overwrite").format(self.table_format).save(
+                    f"{self.path(name)}/batch-{number:09d}")
             self._add_counts(table, counted.get)
 
         return (
@@ -158,24 +173,22 @@ class Lakehouse:
 
     def _streams(self) -> dict[str, Callable[[], StreamingQuery]]:
         """How to start the stream of each table."""
-        built = {
-            BRONZE_RAW: self.bronze_raw,
-            BRONZE_BATCHES: self.bronze_batches,
-            "silver_orders": self.orders,
-            "silver_order_items": self.order_items,
-        }
+        built = {BRONZE_RAW: self.bronze_raw, BRONZE_BATCHES: self.bronze_batches}
+        claimed = {e.table: e for e in silver.DEDUPLICATED} if self.dedup == "arrival" else {}
+        for table in SILVER:
+            if table not in claimed:
+                built[table] = lambda t=table: self.checked(t)
+                built[rejected(table)] = lambda t=table: self.refused(t)
         streams = {table: (lambda t=table, b=build: self._append(t, b())) for table, build in built.items()}
-        for entity in silver.DEDUPLICATED:
-            if self.dedup == "arrival":
-                streams[entity.table] = lambda e=entity: self._claim_first_arrivals(e)
-            else:
-                streams[entity.table] = lambda e=entity: self._append(e.table, self.dimension(e))
-        return streams
+        return streams | {t: (lambda e=entity: self._claim_first_arrivals(e)) for t, entity in claimed.items()}
 
     def run(self, *tables: str) -> None:
         """Bring these tables up to date side by side; they must not feed each other."""
         streams = self._streams()
-        self._finish({table: streams[table]() for table in tables})
+        wanted = list(tables)
+        if self.keep_rejected:
+            wanted += [rejected(t) for t in tables if rejected(t) in streams]
+        self._finish({table: streams[table]() for table in wanted})
 
     def bronze_raw(self) -> DataFrame:
         return capture_rows(
@@ -185,26 +198,24 @@ class Lakehouse:
         parsed = bronze.parse_batches(self.follow(BRONZE_RAW))
         return warn(parsed, self.rules[BRONZE_BATCHES], "rules")
 
-    def dimension(self, entity: silver.Entity) -> DataFrame:
-        """Stream form with claimed keys in the state store."""
+    def unchecked(self, table: str) -> DataFrame:
+        """A silver table's streaming rows before its rules; claimed keys are in the state store."""
+        if table == "silver_orders":
+            batches = self.follow(BRONZE_BATCHES, batches_ddl({"orders": None}))
+            return silver.orders(batches, rules={}, dedup_orders=self.dedup_orders)
+        if table == "silver_order_items":
+            return silver.order_item_rows(self.follow("silver_orders"))
+        entity = next(e for e in silver.DEDUPLICATED if e.table == table)
         batches = self.follow(BRONZE_BATCHES, batches_ddl(entity.keep))
-        rules = self.rules[entity.table]
-        if self.validate_first:
-            return silver.stamped(silver.dimension(
-                batches, entity, True, rules, horizon=self.dedup_horizon))
-        unchecked = silver.dimension(batches, entity, rules={}, horizon=self.dedup_horizon)
-        return silver.stamped(keep_valid(warn(unchecked, rules, "rules"), rules))
-
-    def orders(self) -> DataFrame:
-        batches = self.follow(BRONZE_BATCHES, batches_ddl({"orders": None}))
-        unchecked = silver.orders(batches, rules={}, dedup_orders=self.dedup_orders)
-        rules = self.rules["silver_orders"]
-        return silver.stamped(keep_valid(warn(unchecked, rules, "rules"), rules))
-
-    def order_items(self) -> DataFrame:
-        unchecked = silver.order_item_rows(self.follow("silver_orders"))
-        rules = self.rules["silver_order_items"]
-        return silver.stamped(keep_valid(warn(unchecked, rules, "rules"), rules))
+        first_valid = self.rules[table] if self.validate_first else {}
+        return silver.dimension(batches, entity, self.validate_first, first_valid, self.dedup_horizon)
+
+    def checked(self, table: str) -> DataFrame:
+        rules = self.rules[table]
+        return silver.stamped(keep_valid(warn(self.unchecked(table), rules, "rules"), rules))
+
+    def refused(self, table: str) -> DataFrame:
+        return silver.stamped(quarantine(self.unchecked(table), self.rules[table]))
 
     def update_bronze(self) -> None:
         self.run(BRONZE_RAW)

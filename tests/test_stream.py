@@ -6,7 +6,7 @@ from conftest import client, driver, item, order, payload, restaurant
 from marmita.jobs import run_governance, run_update
 from marmita.operators import silver
 from marmita.schemas import batches_ddl
-from marmita.streaming.runner import Lakehouse
+from marmita.streaming.runner import Lakehouse, rejected
 from marmita.tables import BRONZE_BATCHES, BRONZE_RAW, GOLD_TABLES, SCHEMAS
 
 ONE_FILE = {"source_options": {"maxFilesPerTrigger": "1"}}
@@ -130,6 +130,19 @@ def test_redelivered_orders_option(spark, archive, tmp_path):
     assert once.read("silver_orders").count() == 1
 
 
+@pytest.mark.parametrize("dedup", ["arrival", "state"])
+def test_kept_and_rejected_make_the_whole(spark, archive, tmp_path, dedup):
+    archive.add(payload("b1", clientes=[client(), client("C2", CPF="1", tipo_pagamento="CHEQUE")],
+                        orders=[order(), order("P2", valor_total=0)]))
+    house = run_update(spark, str(tmp_path / "house"), archive.folder, dedup=dedup, keep_rejected=True)
+    refused = house.read(rejected("silver_clientes")).collect()
+    assert [(r.client_id, r.failed_rules) for r in refused] == [("C2", ["valid_cpf", "valid_client_payment_type"])]
+    assert house.read("silver_clientes").count() == 1
+    refused = house.read(rejected("silver_orders")).collect()
+    assert [(r.order_id, r.failed_rules) for r in refused] == [("P2", ["valid_order_amount"])]
+    assert house.read(rejected("silver_order_items")).count() == 0
+
+
 def test_bounded_dedup_state(spark, archive, tmp_path):
     archive.add(payload("b1", clientes=[client(), client()])).add(payload("b2", clientes=[client(), client("C2")]))
     house = run_update(spark, str(tmp_path / "house"), archive.folder, dedup="state", dedup_horizon="7 days")
