@@ -100,6 +100,9 @@ ORDER_ITEMS = Entity("silver_order_items", "produtos", (
     ("created_at", "created_at", "timestamp"),
 ), None, RULES["silver_order_items"])
 
+# What decides which of two rows came first.
+ARRIVAL = ("sequence_number", "position")
+
 DEDUPLICATED = (CLIENTES, RESTAURANTES, DRIVERS, ITEMS)
 
 # Column order of the order table; some are derived after the typed fields.
@@ -156,28 +159,32 @@ def entity_rows(batches: DataFrame, entity: Entity) -> DataFrame:
     )
 
 
-def first_arrivals(batches: DataFrame, entity: Entity, validate_first: bool = False,
-                   rules: Rules | None = None) -> DataFrame:
-    """Batch dedup: of all rows with a key, the one that arrived first.
+def _first(rows: DataFrame, key: str) -> DataFrame:
+    """The earliest of all rows with a key.
 
     Arrival is (sequence number, position in the document); rows that still tie
     are ordered by content, so the result does not depend on task timing.  Spark
     plans ``row_number() = 1`` with a per-task limit ahead of the shuffle: a key
     that fills a third of the input sends one row per task.
     """
+    content = [c for c in rows.columns if c not in (key, *ARRIVAL)]
+    earliest = Window.partitionBy(key).orderBy(*ARRIVAL, *content)
+    return (
+        rows.withColumn("arrival", F.row_number().over(earliest))
+        .filter("arrival = 1").drop("arrival", *ARRIVAL)
+    )
+
+
+def first_arrivals(batches: DataFrame, entity: Entity, validate_first: bool = False,
+                   rules: Rules | None = None) -> DataFrame:
+    """Batch dedup of an entity before its rules, or after them with ``validate_first``."""
     rows = batches.select(
         "sequence_number", "batch_id",
         F.posexplode_outer(f"tables.{entity.array}").alias("position", "record"),
-    ).select("sequence_number", "position", "batch_id", *_typed("record", entity))
+    ).select(*ARRIVAL, "batch_id", *_typed("record", entity))
     if validate_first:
         rows = keep_valid(rows, entity.rules if rules is None else rules)
-    content = [c for c in ["batch_id", *entity.names] if c != entity.key]
-    arrival = Window.partitionBy(entity.key).orderBy("sequence_number", "position", *content)
-    return (
-        rows.withColumn("arrival", F.row_number().over(arrival))
-        .filter("arrival = 1")
-        .select("batch_id", *entity.names)
-    )
+    return _first(rows, entity.key)
 
 
 def first_of_each_chunk(df: DataFrame, key: str) -> DataFrame:
@@ -228,28 +235,34 @@ def dimension(batches: DataFrame, entity: Entity, validate_first: bool = False,
     return rows if validate_first else keep_valid(rows, rules)
 
 
-def order_rows(batches: DataFrame, products: bool = True) -> DataFrame:
+def order_rows(batches: DataFrame, products: bool = True, arrival: bool = False) -> DataFrame:
     """Orders before their rules, with date parts and amount bucket."""
     columns = ORDERS.columns if products else ORDERS.columns[:-1]
     wanted = Entity(ORDERS.table, ORDERS.array, columns)
-    unnested = batches.select("batch_id", F.explode_outer("tables.orders").alias("record"))
+    if arrival:
+        unnested = batches.select(
+            "sequence_number", "batch_id", F.posexplode_outer("tables.orders").alias("position", "record"))
+    else:
+        unnested = batches.select("batch_id", F.explode_outer("tables.orders").alias("record"))
+    leading = ARRIVAL if arrival else ()
     typed = unnested.select(
-        "batch_id", *_typed("record", wanted),
+        *leading, "batch_id", *_typed("record", wanted),
         F.col("record.MerchantID").alias("restaurant_id"),
         amount_category(F.col("record.valor_total")).alias("amount_category"),
     )
     order = [c for c in ORDER_COLUMNS if products or c != "produtos"]
-    return typed.withColumns(date_parts(F.col("created_at"))).select(*order)
+    return typed.withColumns(date_parts(F.col("created_at"))).select(*leading, *order)
 
 
 def orders(batches: DataFrame, rules: Rules | None = None, products: bool = True,
            dedup_orders: bool = False) -> DataFrame:
     """Valid orders.  Redelivered orders stay unless ``dedup_orders``."""
-    rows = order_rows(batches, products)
-    if dedup_orders:
-        if rows.isStreaming:
-            rows = first_of_each_chunk(rows, "order_id")
-        rows = rows.dropDuplicates(["order_id"])
+    if dedup_orders and not batches.isStreaming:
+        rows = _first(order_rows(batches, products, arrival=True), "order_id")
+    elif dedup_orders:
+        rows = first_of_each_chunk(order_rows(batches, products), "order_id").dropDuplicates(["order_id"])
+    else:
+        rows = order_rows(batches, products)
     return keep_valid(rows, ORDERS.rules if rules is None else rules)
 
 

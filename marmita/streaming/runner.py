@@ -52,6 +52,7 @@ class Lakehouse:
                  table_format: str = "parquet", rules: Mapping[str, Rules] = RULES,
                  validate_first: bool = False, dedup: str = "arrival", dedup_orders: bool = False,
                  dedup_horizon: str | None = None, keep_rejected: bool = False,
+                 batch_bytes: int = 512 * 1024**3,
                  source_options: Mapping[str, str] | None = None):
         if dedup not in ("arrival", "state"):
             raise ValueError(f"dedup is 'arrival' or 'state', not {dedup!r}")
@@ -68,7 +69,11 @@ class Lakehouse:
         self.dedup_orders = dedup_orders
         self.dedup_horizon = dedup_horizon
         self.keep_rejected = keep_rejected
+        # A backfill runs as several micro-batches, so a failure repeats one of them, not all.
+        self.batch_bytes = {"maxBytesPerTrigger": str(batch_bytes)}
         self.source_options = dict(source_options or {})
+        if not any(option.lower().startswith("max") for option in self.source_options):
+            self.source_options |= self.batch_bytes
         # Progress figures of the last update: table -> rows read and rule counts.
         self.progress: dict[str, dict] = {}
         spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -101,7 +106,7 @@ class Lakehouse:
     def follow(self, table: str, schema: str | None = None) -> DataFrame:
         """Streaming read of a table written by another query."""
         return (
-            self.spark.readStream.format(self.table_format)
+            self.spark.readStream.format(self.table_format).options(**self.batch_bytes)
             .schema(schema or SCHEMAS[table]).load(self.path(table))
         )
 

@@ -68,6 +68,13 @@ def test_redelivered_orders_stay_unless_asked(batches):
     assert silver.orders(df, dedup_orders=True).count() == 1
 
 
+def test_first_delivery_of_an_order_wins(batches):
+    df = batches(payload("b1", orders=[order(valor_total=5), order(valor_total=6)]), payload("b2", orders=[order()]))
+    row, = silver.orders(df, dedup_orders=True).collect()
+    assert (row.batch_id, row.valor_total) == ("b1", Decimal("5.00"))
+    assert tuple(row.asDict()) == silver.ORDER_COLUMNS
+
+
 def test_order_items(batches):
     bad = line("I2", preco=1e9)
     df = silver.orders(batches(payload(orders=[order(Produtos=[line(), bad, line("I3", quantidade=0)]),

@@ -143,6 +143,16 @@ def test_kept_and_rejected_make_the_whole(spark, archive, tmp_path, dedup):
     assert house.read(rejected("silver_order_items")).count() == 0
 
 
+def test_backfill_in_several_micro_batches(spark, archive, tmp_path):
+    for n in range(4):
+        archive.add(whole(n), payload(f"x{n}", clientes=[client("C0", nome=f"n{n}")]))
+    house = run_update(spark, str(tmp_path / "house"), archive.folder, batch_bytes=5000)
+    runs = list((tmp_path / "house" / "claims" / "silver_clientes").glob("claimed_in=*"))
+    assert len(runs) > 1
+    streamed = house.read("silver_clientes").drop("silver_processed_at").collect()
+    assert sorted(streamed) == sorted(silver.dimension(house.read(BRONZE_BATCHES), silver.CLIENTES).collect())
+
+
 def test_bounded_dedup_state(spark, archive, tmp_path):
     archive.add(payload("b1", clientes=[client(), client()])).add(payload("b2", clientes=[client(), client("C2")]))
     house = run_update(spark, str(tmp_path / "house"), archive.folder, dedup="state", dedup_horizon="7 days")
