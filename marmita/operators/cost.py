@@ -66,6 +66,16 @@ def total_by(cost_detail: DataFrame, *columns: str) -> DataFrame:
     return cost_detail.groupBy(*columns).agg(_total("total_cost"))
 
 
+def total_by_each(cost_detail: DataFrame, *columns: str) -> DataFrame:
+    """Totals per value of each column, all in one pass over the detail."""
+    sets = cost_detail.groupingSets([[F.col(c)] for c in columns], *columns)
+    dimension = F.coalesce(*(F.when(F.grouping(c) == 0, F.lit(c)) for c in columns))
+    value = F.coalesce(*(F.when(F.grouping(c) == 0, F.col(c)) for c in columns))
+    return sets.agg(
+        _total("total_cost"), dimension.alias("dimension"), value.alias("dimension_value"),
+    ).select("dimension", "dimension_value", "total_cost")
+
+
 def top_resources(cost_detail: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` dearest resources with their rank; equal totals rank by id.
 

@@ -69,20 +69,25 @@ def _settings(spark: SparkSession, **values: str) -> Iterator[None]:
 
 
 def compact(spark: SparkSession, source: str, target: str, fmt: str = "parquet",
-            target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
+            target_bytes: int = TARGET_FILE_BYTES, keys: tuple[str, ...] = ()) -> DataFrame:
     """Rewrite many small files as few large ones in a new folder.
 
     The scan itself packs small files into one task up to ``target_bytes``, and
-    each task writes one file: no shuffle.  The old folder stays untouched, so
-    readers switch over (see :func:`swap_location`) only once all is written.
+    each task writes one file: no shuffle.  With ``keys`` the rows are clustered
+    by them instead, which takes a range shuffle.  The old folder stays
+    untouched, so readers switch over (see :func:`swap_location`) only once all
+    is written.
     """
     with _settings(spark, **{
         "spark.sql.files.maxPartitionBytes": str(target_bytes),
         "spark.sql.files.openCostInBytes": "0",
         "spark.sql.files.minPartitionNum": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }):
         whole = spark.read.format(fmt).option("recursiveFileLookup", "true").load(source)
-        whole.write.format(fmt).mode("errorifexists").save(target)
+        rewritten = clustered(whole, keys) if keys else whole
+        rewritten.write.format(fmt).mode("errorifexists").save(target)
     return spark.read.format(fmt).load(target)
 
 

@@ -402,6 +402,9 @@ _BODIES: dict[str, str] = {
     "cost_by_group": _total("resource_group"),
     "cost_by_type": _total("resource_type"),
     "cost_by_service": _total("service_name"),
+    "cost_by_dimension": " UNION ALL ".join(
+        f"SELECT '{c}' AS dimension, {c} AS dimension_value, CAST(sum(pretax_cost) AS DECIMAL(18,6)) AS total_cost "
+        f"FROM charges GROUP BY {c}" for c in ("resource_group", "resource_type", "service_name")),
     "cost_top_resources": """
         SELECT resource_id, total_cost, CAST(row_number() OVER (ORDER BY total_cost DESC, resource_id) AS INTEGER) AS cost_rank
         FROM (SELECT resource_id, CAST(sum(pretax_cost) AS DECIMAL(18,6)) AS total_cost FROM charges GROUP BY resource_id)

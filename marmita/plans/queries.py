@@ -383,6 +383,11 @@ def _(ws):
     return cost.total_by(_charges(ws), "service_name")
 
 
+@register("cost_by_dimension")
+def _(ws):
+    return cost.total_by_each(_charges(ws), "resource_group", "resource_type", "service_name")
+
+
 @register("cost_top_resources")
 def _(ws):
     return cost.top_resources(_charges(ws), 10)

@@ -58,6 +58,9 @@ class Lakehouse:
             raise ValueError(f"dedup is 'arrival' or 'state', not {dedup!r}")
         if dedup_horizon and dedup != "state":
             raise ValueError("dedup_horizon bounds the state store; it needs dedup='state'")
+        if keep_rejected and (dedup == "state" or dedup_orders):
+            raise ValueError("kept and rejected rows come from one choice of first rows only with dedup='arrival' "
+                             "and without dedup_orders")
         self.spark = spark
         self.root = root.rstrip("/")
         self.source = source

@@ -38,6 +38,18 @@ def test_maintenance_job_switches_tables(spark, tmp_path):
     spark.sql("DROP TABLE small_files")
 
 
+def test_clustered_table_is_rewritten_in_key_order(spark, tmp_path):
+    spark.range(500).select(
+        F.expr("date_add(DATE'2024-01-01', cast(id * 7 % 50 as int))").alias("metric_date"), "id",
+    ).repartition(20).write.parquet(str(tmp_path / "t"))
+    spark.sql(f"CREATE TABLE gold_daily_delivery_kpis USING parquet LOCATION '{tmp_path}/t'")
+    run_maintenance(spark, {"gold_daily_delivery_kpis": str(tmp_path / "t")}, str(tmp_path / "new"))
+    days = [r.metric_date for r in spark.table("gold_daily_delivery_kpis").collect()]
+    assert len(files(tmp_path / "new" / "gold_daily_delivery_kpis")) == 1
+    assert len(days) == 500 and days == sorted(days)
+    spark.sql("DROP TABLE gold_daily_delivery_kpis")
+
+
 def test_clustering_sorts_and_spreads_a_hot_key(spark, tmp_path):
     df = spark.range(9000).select(
         F.expr("if(id % 3 = 0, 'hot', cast(id % 50 as string))").alias("k"), "id")

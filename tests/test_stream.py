@@ -98,6 +98,8 @@ def test_unknown_dedup_is_refused(spark, tmp_path):
         Lakehouse(spark, str(tmp_path), "x", dedup="never")
     with pytest.raises(ValueError):
         Lakehouse(spark, str(tmp_path), "x", dedup_horizon="1 day")
+    with pytest.raises(ValueError):
+        Lakehouse(spark, str(tmp_path), "x", dedup="state", keep_rejected=True)
 
 
 @pytest.mark.parametrize("dedup", ["arrival", "state"])
@@ -130,11 +132,10 @@ def test_redelivered_orders_option(spark, archive, tmp_path):
     assert once.read("silver_orders").count() == 1
 
 
-@pytest.mark.parametrize("dedup", ["arrival", "state"])
-def test_kept_and_rejected_make_the_whole(spark, archive, tmp_path, dedup):
+def test_kept_and_rejected_make_the_whole(spark, archive, tmp_path):
     archive.add(payload("b1", clientes=[client(), client("C2", CPF="1", tipo_pagamento="CHEQUE")],
                         orders=[order(), order("P2", valor_total=0)]))
-    house = run_update(spark, str(tmp_path / "house"), archive.folder, dedup=dedup, keep_rejected=True)
+    house = run_update(spark, str(tmp_path / "house"), archive.folder, keep_rejected=True)
     refused = house.read(rejected("silver_clientes")).collect()
     assert [(r.client_id, r.failed_rules) for r in refused] == [("C2", ["valid_cpf", "valid_client_payment_type"])]
     assert house.read("silver_clientes").count() == 1
