@@ -11,6 +11,9 @@ from marmita.llm.decontaminate import contained_items
 from marmita.llm.line_dedup import remove_boilerplate
 from marmita.llm.mixing import mix
 from marmita.llm.near_dups import near_duplicates
+from marmita.llm.quality_classifier import quality_scores
+from marmita.llm.quality_rules import quality
+from marmita.llm.toxicity import toxicity
 from marmita.session import use_utc
 from marmita.sources.tables import read_table
 
@@ -33,6 +36,11 @@ def register(name: str, sql: str | None = None):
     return add
 
 
+@register("op1_toxicity")
+def _(table):
+    return toxicity(table("documents"), table("labels"))
+
+
 @register("op2_near_dups")
 def _(table):
     return near_duplicates(table("documents"), shingle=2)
@@ -54,6 +62,16 @@ def _(table):
     return contained_items(table("documents"), table("benchmark"))
 
 
+@register("op5_quality_rules")
+def _(table):
+    return quality(table("documents"))
+
+
+@register("op7_quality_classifier")
+def _(table):
+    return quality_scores(table("documents"), table("labels"))
+
+
 @register("op9_mix")
 def _(table):
     mixed = mix(table("documents"))
