@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marmita.llm import chat
+from marmita.llm.common import store
 from marmita.llm.decontaminate import contained_items
 from marmita.llm.line_dedup import remove_boilerplate
 from marmita.llm.mixing import mix
@@ -20,6 +22,17 @@ from marmita.sources.tables import read_table
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+#: Said by both turns of the extra conversation -1: control strings of the template inside a text.
+CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
+
+
+def tokenizer_json() -> str:
+    """File of the tokenizer; operators take it as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 SQL_WORDS = r"list_filter(string_split_regex({}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 SQL_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -72,6 +85,15 @@ def _(table):
     return quality_scores(table("documents"), table("labels"))
 
 
+@register("op8_chat")
+def _(table):
+    rows = table("conversations").select("conv_id", "turn", "role", "text")
+    extra = rows.sparkSession.createDataFrame(
+        [(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], chat.ROWS)
+    formatted = store(chat.format_conversations(rows.unionByName(extra), tokenizer_json()), "formatted")
+    return chat.digests(formatted)
+
+
 @register("op9_mix")
 def _(table):
     mixed = mix(table("documents"))

@@ -21,7 +21,7 @@ from marmita.llm.linear import Sparse, fit, sigmoid
 
 #: Labelled documents that the classifier is fitted on at most, by hash order of their ids.
 TRAINED_ON = 20_000
-FEATURES = 16384
+FEATURES = 4096
 SENTENCES = 20_000
 PREFIXES = (3, 4, 5, 6)
 RIDGE, PAIR_PENALTY = 1e-4, 1.0
