@@ -15,8 +15,9 @@ from marmita.llm.mixing import mix
 from marmita.llm.near_dups import near_duplicates
 from marmita.llm.quality_classifier import quality_scores
 from marmita.llm.quality_rules import quality
+from marmita.llm.token_output import documents_of, read_blocks, write_tokens
 from marmita.llm.toxicity import toxicity
-from marmita.session import use_utc
+from marmita.session import shared_folder, use_utc
 from marmita.sources.tables import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +81,14 @@ def _(table):
     return quality(table("documents"))
 
 
+@register("op6_token_output")
+def _(table):
+    docs = table("documents")
+    path = f"{shared_folder(docs.sparkSession)}/tokens"
+    write_tokens(docs, path, tokenizer_json())
+    return documents_of(read_blocks(docs.sparkSession, path))
+
+
 @register("op7_quality_classifier")
 def _(table):
     return quality_scores(table("documents"), table("labels"))
