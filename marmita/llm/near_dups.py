@@ -6,8 +6,8 @@ choice of ``ERRORS`` symbols left out, and equal keys bring together every pair
 sets at similarity 0.8 the chance that no chunk qualifies is 3e-5, at 0.85 below 1e-6).
 
 Work within a key: every member is confirmed against the smallest one (a star, linear in the members), components are formed, and only
-members that are still in different components are compared with each other, block by block, on longer signatures
-and then on full sets.  Equal sets are one node from the start.
+members that are still in different components are compared with each other, block by block: on longer signatures, on shortened
+sets, and what passes on full sets.  Equal sets are one node from the start.
 """
 
 from __future__ import annotations
@@ -97,7 +97,9 @@ def _sets(size: int):
             sets = list(shingle_sets(batch.column("text").to_pylist(), size, memo))
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                pa.array([signature(s, LONG).tobytes() for s in sets], pa.binary())], ["node", "members", "sig"])
+                pa.array([signature(s, LONG).tobytes() for s in sets], pa.binary()),
+                pa.array([np.unique((s >> np.uint64(32)).astype(np.uint32)).tobytes() for s in sets], pa.binary())],
+                ["node", "members", "sig", "short"])
     return run
 
 
@@ -113,17 +115,30 @@ def first_common(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return found
 
 
+def nearly_shared(ask: np.ndarray, asked: list[np.ndarray]) -> np.ndarray:
+    """Size of the intersection of one sorted set with each of some others."""
+    flat = np.concatenate(asked)
+    at = np.minimum(np.searchsorted(ask, flat), len(ask) - 1)
+    return np.add.reduceat(ask[at] == flat, np.r_[0, np.cumsum([len(x) for x in asked])[:-1]], dtype=np.int64)
+
+
 def _compare(need: int, percent: int):
-    """Pairs of a block whose components differ and whose long signatures agree in ``need`` symbols, each pair at its first key."""
+    """Links of a block between different components: by signature, then by sets of 32-bit hashes.
+
+    Each pair is compared at its first common key only.  Where a row is surely linked with a component one link says so; pairs so close to the threshold
+    that shortened hashes could be wrong about them are all passed on.
+    """
     def run(batches):
         for block in runs(batches, ["key", "qb", "tb"]):
             node, root, n = (block[c].to_numpy() for c in ("node", "root", "n"))
             query = block["query"].to_numpy(zero_copy_only=False).astype(bool)
             alone = block["alone"].to_numpy(zero_copy_only=False).astype(bool)
             sig = np.frombuffer(b"".join(block["sig"].to_pylist()), np.uint8).reshape(-1, LONG)
+            short = [np.frombuffer(x, np.uint32) for x in block["short"].to_pylist()]
             ids = index_keys(sig[:, :CHUNKS * WIDTH])
             number = int(np.flatnonzero((ids == ids[:1]).all(0) & (ids[0] == np.uint64(block["key"][0].as_py() % 2**64)))[0])
             q, t = np.flatnonzero(query), np.flatnonzero(~query)
+            left, right = [], []
             for start in range(0, len(q), 64):
                 part = q[start:start + 64]
                 # A pair of two rows that are both queries is met in both orders: the smaller node asks.
@@ -138,9 +153,19 @@ def _compare(need: int, percent: int):
                 ok &= same >= need
                 if ok.any():
                     ok &= first_common(sig[part, :CHUNKS * WIDTH], sig[t, :CHUNKS * WIDTH]) == number
-                i, j = np.nonzero(ok)
-                if len(i):
-                    yield pa.RecordBatch.from_arrays([pa.array(node[part[i]]), pa.array(node[t[j]])], ["a", "b"])
+                for i in np.flatnonzero(ok.any(1)):
+                    asks, others = part[i], t[ok[i]]
+                    shared = nearly_shared(short[asks], [short[j] for j in others])
+                    least = -(-percent * (n[asks] + n[others]) // (100 + percent))
+                    slack = 1 + n[asks] * n[others] // 2**30
+                    close = (shared >= least - slack) & (shared < least + slack)
+                    sure = np.flatnonzero(shared >= least + slack)
+                    sure = sure[np.unique(root[others[sure]], return_index=True)[1]]
+                    found = others[np.r_[np.flatnonzero(close), sure]]
+                    left += [node[asks]] * len(found)
+                    right += node[found].tolist()
+            if left:
+                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
     return run
 
 
@@ -176,7 +201,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
     wanted = members.select("node").distinct()
     texts = docs.join(wanted, docs["doc_id"] == wanted["node"], "left_semi").select("doc_id", "text")
-    sets = store(texts.mapInArrow(_sets(shingle), "node long, members array<long>, sig binary"), "sets")
+    sets = store(texts.mapInArrow(_sets(shingle), "node long, members array<long>, sig binary, short binary"), "sets")
 
     star = members.where("node != p").select(F.col("p").alias("a"), F.col("node").alias("b")).distinct()
     links = store(_confirmed(star, sets, percent), "star")
@@ -218,7 +243,7 @@ def _undecided(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: i
     asked = rows.select(
         "key", "node", "root", "alone", F.explode(F.sequence(F.lit(0), F.col("qbs") - 1)).alias("qb"),
         F.pmod(spread, F.col("tbs")).alias("tb"), F.lit(False).alias("query"))
-    long = sets.select("node", "sig", F.size("members").alias("n"))
+    long = sets.select("node", "sig", "short", F.size("members").cast("long").alias("n"))
     blocks = asks.unionByName(asked).join(long, "node")
     need = int(LONG * percent / 100 - 4.5 * (LONG * percent / 100 * (1 - percent / 100)) ** 0.5)
     return (blocks.repartition("key", "qb", "tb").sortWithinPartitions("key", "qb", "tb")
