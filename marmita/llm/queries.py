@@ -15,6 +15,7 @@ from marmita.llm.mixing import mix
 from marmita.llm.near_dups import near_duplicates
 from marmita.llm.quality_classifier import quality_scores
 from marmita.llm.quality_rules import quality
+from marmita.llm.suffix_dedup import remove_repeats
 from marmita.llm.token_output import documents_of, read_blocks, write_tokens
 from marmita.llm.toxicity import toxicity
 from marmita.session import shared_folder, use_utc
@@ -60,6 +61,11 @@ def _(table):
     return near_duplicates(table("documents"), shingle=2)
 
 
+@register("op3_suffix_dedup")
+def _(table):
+    return remove_repeats(table("documents")).drop("removed_from", "removed_to")
+
+
 @register("op4_decontaminate", f"""
 WITH d AS (SELECT doc_id, {SQL_WORDS.format(SQL_LOWER.format("coalesce(text, '')"))} AS w FROM documents),
      i AS (SELECT item_id, {SQL_WORDS.format(SQL_LOWER.format("coalesce(text, '')"))} AS w FROM benchmark),
