@@ -1,10 +1,79 @@
-"""A training corpus from raw documents: five stages, each written as Parquet and read again by the next."""
+"""A training corpus from raw documents in five stages, each written as Parquet and read again by the next.
+
+Every stage but the last takes and returns the columns of ``documents`` and acts on all rows that reach it.  Rows are judged alike when they repeat;
+a row without doc_id is judged by its own text where a stage can, and is kept where it cannot.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from marmita.llm.common import store
+from marmita.llm.decontaminate import contained_items
+from marmita.llm.mixing import mix
+from marmita.llm.near_dups import near_duplicates
+from marmita.llm.quality_rules import quality
+from marmita.llm.queries import tokenizer_json
+from marmita.llm.token_output import documents_of, read_blocks, write_tokens
+from marmita.session import shared_folder, use_utc
+from marmita.sources.tables import read_table
+
+#: No SQL states the perplexity bands, the links or the ids of the tokenizer; the tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose doc_id is not among ``ids`` (doc_id); rows without one stay."""
+    return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the counted rules and their language's perplexity band.  A doc_id goes if a row of it fails, and so does
+    a row without doc_id if another such row fails."""
+    failed = quality(docs).where("NOT kept").select(F.col("doc_id").alias("failed")).distinct()
+    return docs.join(failed, docs["doc_id"].eqNullSafe(failed["failed"]), "left_anti").select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group, the one with the smallest doc_id."""
+    return _without(docs, near_duplicates(docs).where("NOT kept"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    return _without(docs, contained_items(docs, read_table(spark, sf_dir, "benchmark")))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As many copies of each document as the target shares of the sources ask for; none drops it.
+
+    Rows that repeat a doc_id get the copies of the one that is taken most.
+    """
+    copies = mix(docs).groupBy(F.col("doc_id").alias("mixed")).agg(F.max("copies").cast("int").alias("copies")).where("copies > 0")
+    chosen = docs.join(copies, docs["doc_id"].eqNullSafe(copies["mixed"]))
+    return chosen.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) per document copy, read back from the token files that this stage writes."""
+    path = f"{shared_folder(spark)}/corpus-tokens"
+    write_tokens(docs, path, tokenizer_json())
+    return documents_of(read_blocks(spark, path))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near-duplicates", near_dedup),
+    ("decontamination", decontaminate),
+    ("mixing", mix_sources),
+    ("token output", token_output),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_utc(spark)
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = store(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
