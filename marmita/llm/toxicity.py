@@ -1,6 +1,6 @@
 """Toxicity: a logistic classifier of words and word beginnings, regularised by counterfactuals.
 
-Labelled sentences that name a group are copied with the name swapped for others of its kind and for a neutral word.  The
+Labelled sentences that name a group are copied with the name swapped for others of its kind, and with none.  The
 score change between a sentence and its copies is penalised while the classifier is fitted, so that naming a group does not by
 itself make a text toxic, however often the labelled texts use the name so.
 """
@@ -28,22 +28,22 @@ RIDGE, PAIR_PENALTY = 1e-4, 1.0
 #: Toxic texts are the rare class: each counts as so many others.
 TOXIC_WEIGHT = 3.0
 
-# Names of groups by kind and language, the neutral word last.
+# Names of groups by kind and language.
 IDENTITIES = (
-    ("women", "men", "girls", "boys", "people"),
-    ("woman", "man", "girl", "boy", "person"),
-    ("muslims", "christians", "jews", "hindus", "buddhists", "atheists", "people"),
-    ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist", "ordinary"),
-    ("black", "white", "asian", "african", "latino", "arab", "european", "american", "ordinary"),
-    ("gay", "lesbian", "bisexual", "transgender", "straight", "queer", "ordinary"),
-    ("immigrants", "refugees", "foreigners", "natives", "people"),
-    ("disabled", "blind", "deaf", "autistic", "ordinary"),
-    ("femmes", "hommes", "filles", "garçons", "gens"),
-    ("musulmans", "chrétiens", "juifs", "athées", "gens"),
-    ("frauen", "männer", "mädchen", "jungen", "leute"),
-    ("muslime", "christen", "juden", "atheisten", "leute"),
-    ("mujeres", "hombres", "chicas", "chicos", "gente"),
-    ("musulmanes", "cristianos", "judíos", "ateos", "gente"),
+    ("women", "men", "girls", "boys"),
+    ("woman", "man", "girl", "boy"),
+    ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"),
+    ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
+    ("black", "white", "asian", "african", "latino", "arab", "european", "american"),
+    ("gay", "lesbian", "bisexual", "transgender", "straight", "queer"),
+    ("immigrants", "refugees", "foreigners", "natives"),
+    ("disabled", "blind", "deaf", "autistic"),
+    ("femmes", "hommes", "filles", "garçons"),
+    ("musulmans", "chrétiens", "juifs", "athées"),
+    ("frauen", "männer", "mädchen", "jungen"),
+    ("muslime", "christen", "juden", "atheisten"),
+    ("mujeres", "hombres", "chicas", "chicos"),
+    ("musulmanes", "cristianos", "judíos", "ateos"),
 )
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -60,10 +60,14 @@ def features_of(word: str) -> list[str]:
 
 
 def swaps(sentence: str, identities=IDENTITIES) -> list[tuple[set[str], set[str]]]:
-    """(words, words after one swap) for every way to swap one group name of the sentence for another of its kind."""
+    """(words, words after one swap) for every way to swap one group name of the sentence for another of its kind, and for none.
+
+    Copies without a name hold the scores of all names to that of a neutral mention; swaps alone would let them rise together.
+    """
     words = words_in(sentence)
-    return [(words, (words - {name}) | {other})
-            for kind in identities for name in kind[:-1] if name in words for other in kind if other != name]
+    return [(words, (words - {name}) | other)
+            for kind in identities for name in kind if name in words
+            for other in [set(), *({x} for x in kind if x != name)]]
 
 
 def _count(batches):
