@@ -17,6 +17,11 @@ from pyspark.sql import functions as F
 from marmita.llm.common import BREAKS, store
 
 
+def once(value) -> F.Column:
+    """A generator of the one ``value``: what is built on it reads a column instead of working ``value`` out for every element."""
+    return F.explode(F.array(value))
+
+
 def lower_words(text) -> F.Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; none for a null."""
     lowered = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
@@ -44,9 +49,9 @@ def sketch_length(largest, percent: int) -> F.Column:
 
 def sketches(items: DataFrame, size: int, percent: int) -> DataFrame:
     """(item_id, words, partition, sketch): the smallest hashes of every item, as many as its size partition needs."""
-    worded = items.select("item_id", lower_words(F.col("text")).alias("words"))
-    hashed = worded.withColumn("hashes", F.array_sort(F.array_distinct(shingle_hashes(F.col("words"), size)))).where(
-        F.size("hashes") > 0)
+    worded = items.select("item_id", once(lower_words(F.col("text"))).alias("words"))
+    hashed = worded.select(
+        "*", once(F.array_sort(F.array_distinct(shingle_hashes(F.col("words"), size)))).alias("hashes")).where(F.size("hashes") > 0)
     partition = F.floor(F.log2(F.size("hashes"))).cast("int")
     largest = F.pow(F.lit(2), F.col("partition") + 1) - 1
     return hashed.withColumn("partition", partition).select(
@@ -65,17 +70,17 @@ def contained_items(docs: DataFrame, items: DataFrame, size: int = 5, percent: i
         "item_id IS NOT NULL")
     sketched = store(sketches(items, size, percent), "sketches")
     probes = sketched.select("item_id", F.explode("sketch").alias("hash"))
-    # Three narrow steps: words are split once, hashed once, and leave the plan as longs.
-    hashes = docs.select("doc_id", lower_words(F.col("text")).alias("words")).select(
+    hashes = docs.select("doc_id", once(lower_words(F.col("text"))).alias("words")).select(
         "doc_id", F.explode(shingle_hashes(F.col("words"), size)).alias("hash"))
     found = store(hashes.join(probes, "hash").select("doc_id", "item_id").distinct(), "found")
 
     wanted = store(found.select("doc_id").distinct(), "wanted")
-    texts = docs.join(wanted, "doc_id", "left_semi").select("doc_id", shingles(lower_words(F.col("text")), size).alias("has"))
-    asked = sketched.select("item_id", shingles(F.col("words"), size).alias("asks"))
+    texts = (docs.join(wanted, "doc_id", "left_semi").select("doc_id", once(lower_words(F.col("text"))).alias("words"))
+             .select("doc_id", once(shingles(F.col("words"), size)).alias("has")))
+    asked = sketched.select("item_id", once(shingles(F.col("words"), size)).alias("asks"))
     shared = F.size(F.array_intersect("asks", "has"))
     return (found.join(texts, "doc_id").join(asked, "item_id")
-            .select("doc_id", "item_id", F.size("asks").cast("long").alias("n_item"), shared.cast("long").alias("n_shared"))
+            .select("doc_id", "item_id", F.size("asks").cast("long").alias("n_item"), once(shared.cast("long")).alias("n_shared"))
             .where(100 * F.col("n_shared") >= percent * F.col("n_item"))
             .groupBy("doc_id", "item_id")
             .agg(F.max(F.struct(F.col("n_shared") / F.col("n_item"), "n_shared", "n_item")).alias("best"))
