@@ -77,28 +77,30 @@ def total_by_each(cost_detail: DataFrame, *columns: str) -> DataFrame:
 
 
 def top_resources(cost_detail: DataFrame, k: int = 10) -> DataFrame:
-    """The ``k`` dearest resources with their rank; equal totals rank by id.
+    """The resources that rank among the ``k`` dearest; equal totals share a rank, so none is cut at the edge.
 
-    The limit is taken first (each task keeps k rows), so the single-task window
-    only numbers k rows.
+    Spark limits the ranks per task before the window's shuffle, so its single
+    task gets k rows and their ties from each.
     """
-    top = total_by(cost_detail, "resource_id").orderBy(F.desc("total_cost"), "resource_id").limit(k)
-    order = Window.orderBy(F.desc("total_cost"), "resource_id")
-    return top.withColumn("cost_rank", F.row_number().over(order))
+    order = Window.orderBy(F.desc_nulls_last("total_cost"))
+    ranked = total_by(cost_detail, "resource_id").withColumn("cost_rank", F.rank().over(order))
+    return ranked.filter(F.col("cost_rank") <= k)
 
 
 def variation(cost_detail: DataFrame, days: int, by: str = "service_name",
               end: date | None = None) -> DataFrame:
     """Total of the last ``days`` days against the same span before it.
 
-    ``pct_change`` is null where the earlier span cost nothing.
+    ``pct_change`` is null where the earlier span cost nothing.  The detail is
+    read once: it is summed per day, and the latest day is found among the sums.
     """
-    to = last_day(cost_detail, end)
-    age = F.datediff(to, F.col("usage_date"))
-    spans = cost_detail.withColumn("age", age).filter(F.col("age").between(0, 2 * days - 1))
+    daily = cost_detail.groupBy(by, "usage_date").agg(F.sum("pretax_cost").alias("cost"))
+    latest = F.max("usage_date").over(Window.partitionBy(F.lit(0)))
+    dated = daily.withColumn("to", F.lit(end).cast("date") if end is not None else latest)
+    spans = dated.withColumn("age", F.datediff("to", "usage_date")).filter(F.col("age").between(0, 2 * days - 1))
 
     def span(low: int, high: int, name: str) -> Column:
-        inside = F.when(F.col("age").between(low, high), F.col("pretax_cost")).otherwise(F.lit(0).cast(COST))
+        inside = F.when(F.col("age").between(low, high), F.col("cost")).otherwise(F.lit(0).cast(COST))
         return F.sum(inside).cast(COST).alias(name)
 
     change = F.col("current_cost").cast("double") - F.col("previous_cost").cast("double")

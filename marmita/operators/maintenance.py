@@ -20,17 +20,26 @@ TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 
 def retained(df: DataFrame, layer: str, day: str, as_of: date | str,
-             days: Mapping[str, int] = RETENTION_DAYS) -> DataFrame:
-    """Rows young enough for their layer on ``as_of``; a row without a day stays."""
+             days: Mapping[str, int] = RETENTION_DAYS, arrived: str | None = None) -> DataFrame:
+    """Rows young enough for their layer on ``as_of``.
+
+    A row without a day is as old as its ``arrived`` day: an unparsable body
+    expires too.  Without either it stays.
+    """
     oldest = F.date_sub(F.lit(as_of).cast("date"), days[layer])
-    return df.filter(F.col(day).isNull() | (F.col(day) >= oldest))
+    kept = F.col(day) >= oldest
+    undated = F.col(day).isNull()
+    if arrived:
+        undated = undated & (F.col(arrived).isNull() | (F.col(arrived) >= oldest))
+    return df.filter(kept | undated)
 
 
 def rewrite_retained(spark: SparkSession, source: str, target: str, layer: str, day: str,
                      as_of: date | str, fmt: str = "parquet",
-                     days: Mapping[str, int] = RETENTION_DAYS) -> DataFrame:
+                     days: Mapping[str, int] = RETENTION_DAYS, arrived: str | None = None) -> DataFrame:
     """Store the rows still to be kept in a new folder; no shuffle, the day filter reaches the scan."""
-    kept = retained(spark.read.format(fmt).option("recursiveFileLookup", "true").load(source), layer, day, as_of, days)
+    kept = retained(spark.read.format(fmt).option("recursiveFileLookup", "true").load(source), layer, day, as_of, days,
+                    arrived)
     kept.write.format(fmt).mode("errorifexists").save(target)
     return spark.read.format(fmt).load(target)
 
@@ -38,10 +47,13 @@ def rewrite_retained(spark: SparkSession, source: str, target: str, layer: str,
 def clustered(df: DataFrame, keys: tuple[str, ...], files: int | None = None) -> DataFrame:
     """Range-partitioned and sorted by ``keys``, so parquet statistics skip files.
 
-    The random last key lets one key value spread over several ranges: a
-    restaurant with a third of all rows does not become one task and one file.
+    The last key, a hash of the row, lets one key value spread over several
+    ranges: a restaurant with a third of all rows does not become one task and
+    one file.  It depends on the row alone, so a task that is run again sends
+    its rows to the same ranges.
     """
-    ranges = [*(F.col(k) for k in keys), F.rand(7)]
+    hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    ranges = [*(F.col(k) for k in keys), F.xxhash64(*hashable)]
     spread = df.repartitionByRange(files, *ranges) if files else df.repartitionByRange(*ranges)
     return spread.sortWithinPartitions(*keys)
 

@@ -382,8 +382,9 @@ _BODIES: dict[str, str] = {
         FROM s_order_items GROUP BY categoria""",
     "retention_keep_bronze": f"""
         SELECT sequence_number, event_date FROM (
-          SELECT seq AS sequence_number, {_HEADER.format(f'CAST({_clock("seq")} AS DATE)')} AS event_date FROM ev)
-        WHERE event_date IS NULL OR event_date >= DATE '2024-12-31' - 90""",
+          SELECT seq AS sequence_number, {_HEADER.format(f'CAST({_clock("seq")} AS DATE)')} AS event_date,
+                 CAST({_clock("seq")} AS DATE) AS enqueued FROM ev)
+        WHERE coalesce(event_date, enqueued) >= DATE '2024-12-31' - 90""",
     "retention_keep_silver": """
         SELECT order_id, order_date FROM s_orders WHERE order_date >= DATE '2001-06-30' - 180""",
     "retention_keep_gold": f"SELECT * FROM ({_KPIS}) WHERE metric_date >= DATE '2001-06-30' - 365",
@@ -406,9 +407,10 @@ _BODIES: dict[str, str] = {
         f"SELECT '{c}' AS dimension, {c} AS dimension_value, CAST(sum(pretax_cost) AS DECIMAL(18,6)) AS total_cost "
         f"FROM charges GROUP BY {c}" for c in ("resource_group", "resource_type", "service_name")),
     "cost_top_resources": """
-        SELECT resource_id, total_cost, CAST(row_number() OVER (ORDER BY total_cost DESC, resource_id) AS INTEGER) AS cost_rank
-        FROM (SELECT resource_id, CAST(sum(pretax_cost) AS DECIMAL(18,6)) AS total_cost FROM charges GROUP BY resource_id)
-        ORDER BY total_cost DESC NULLS LAST, resource_id LIMIT 10""",
+        SELECT * FROM (
+          SELECT resource_id, total_cost, CAST(rank() OVER (ORDER BY total_cost DESC NULLS LAST) AS INTEGER) AS cost_rank
+          FROM (SELECT resource_id, CAST(sum(pretax_cost) AS DECIMAL(18,6)) AS total_cost FROM charges GROUP BY resource_id))
+        WHERE cost_rank <= 10""",
     "cost_variation_7d": _variation(7),
     "cost_variation_30d": _variation(30),
     "cost_rolling_7d": """

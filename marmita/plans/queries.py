@@ -17,7 +17,6 @@ from marmita.plans.workspace import Workspace, workspace
 from marmita.rules import RULES
 from marmita.sources import cost_responses, feed, generator
 from marmita.sources.capture import path_attributes
-from marmita.sources.tables import dealt_out
 from marmita.streaming.runner import SILVER, Lakehouse, rejected
 from marmita.tables import BRONZE_BATCHES, BRONZE_RAW, SCHEMAS
 
@@ -302,8 +301,11 @@ def _(ws):
 
 @register("retention_keep_bronze")
 def _(ws):
-    dated = bronze.parse_batches(ws.raw(), keep={}).select("sequence_number", "event_date")
-    return maintenance.retained(dated, "bronze", "event_date", RETENTION_AS_OF["bronze"])
+    """From the stored batches: a pruned scan whose day filter is pushed down."""
+    stored = ws.spark.read.schema(SCHEMAS[BRONZE_BATCHES]).parquet(ws.batches_path)
+    dated = stored.withColumn("enqueued_day", F.to_date("enqueued_time_utc"))
+    kept = maintenance.retained(dated, "bronze", "event_date", RETENTION_AS_OF["bronze"], arrived="enqueued_day")
+    return kept.select("sequence_number", "event_date")
 
 
 @register("retention_keep_silver")
@@ -322,11 +324,11 @@ def _(ws):
 
 def _charges(ws: Workspace) -> DataFrame:
     """Every raw charge, typed."""
-    return cost.detail(cost_responses.usage_rows(dealt_out(ws.table("lineitem"))), SUBSCRIPTION)
+    return cost.detail(cost_responses.usage_rows(ws.table("lineitem")), SUBSCRIPTION)
 
 
 def _reshaped(ws: Workspace) -> DataFrame:
-    return cost_responses.reshape_responses(cost_responses.saved_responses(dealt_out(ws.table("lineitem"))))
+    return cost_responses.reshape_responses(cost_responses.saved_responses(ws.table("lineitem")))
 
 
 @register("cost_reshape")
@@ -421,8 +423,9 @@ def _(ws):
 # -- generator ------------------------------------------------------------------
 
 def _generated(ws: Workspace) -> DataFrame:
-    """One batch per row of the event table."""
-    return generator.generate(dealt_out(ws.table("events")), "event_id", F.col("ts").cast("timestamp"))
+    """One batch per row of the event table; a tick is two narrow columns and becomes a whole document, so ticks are spread first."""
+    ticks = ws.table("events").select("event_id", "ts").repartition("event_id")
+    return generator.generate(ticks, "event_id", F.col("ts").cast("timestamp"))
 
 
 @register("gen_batches")

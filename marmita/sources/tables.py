@@ -7,14 +7,3 @@ from pyspark.sql import DataFrame, SparkSession
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def dealt_out(df: DataFrame) -> DataFrame:
-    """Rows over all task slots, for work that makes much out of each row.
-
-    A file with a single row group is one task however many rows it has.  A
-    table that already has a split per slot - any large one - is left as it is,
-    without a shuffle.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df

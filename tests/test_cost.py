@@ -60,9 +60,18 @@ def test_look_back_and_last_day(detail):
     assert cost.look_back(detail, 0, date(2024, 5, 2)).count() == 2
 
 
-def test_top_resources_break_ties_by_id(spark):
+def test_tied_resources_share_a_rank(spark):
     df = typed(spark, reply(*(usage(resource=r, amount=a) for r, a in (("b", 5), ("a", 5), ("c", 9), ("d", 1)))))
-    assert [(r.resource_id, r.cost_rank) for r in cost.top_resources(df, 3).collect()] == [("c", 1), ("a", 2), ("b", 3)]
+    top = {k: {(r.resource_id, r.cost_rank) for r in cost.top_resources(df, k).collect()} for k in (2, 3, 4)}
+    assert top[2] == top[3] == {("c", 1), ("a", 2), ("b", 2)}
+    assert top[4] == top[3] | {("d", 4)}
+    assert "WindowGroupLimit" in cost.top_resources(df, 2)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_variation_reads_the_detail_once(spark, tmp_path):
+    typed(spark, reply(usage())).write.parquet(str(tmp_path / "detail"))
+    plan = cost.variation(spark.read.parquet(str(tmp_path / "detail")), 7)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
 
 
 def test_variation_has_no_rate_from_nothing(spark):
