@@ -28,6 +28,10 @@ def hidden(text: Column) -> Column:
     return F.when(text.isNotNull(), F.lit(STARS))
 
 
-def pseudonym(text: Column) -> Column:
-    """A stable one-way stand-in, so that masked keys still join."""
-    return F.sha2(text.cast("string"), 256)
+def pseudonym(text: Column, secret: str) -> Column:
+    """A stable stand-in, so that masked keys still join.
+
+    Ids are a letter and a short number, which anybody could enumerate; only who has ``secret`` can.
+    """
+    keyed = F.sha2(F.concat(F.lit(secret), text.cast("string")), 256)
+    return F.sha2(F.concat(F.lit(secret), keyed), 256)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,14 +36,24 @@ COLUMN_TAGS = {
     "silver_order_items": {"preco": "FINANCIAL", "valor_total_item": "FINANCIAL"},
 }
 
-# What an analyst sees of each class.  Financial values stay readable.
-ANALYST_MASKS: Mapping[str, Callable[[Column], Column] | None] = {
-    "PII": initial_only,
-    "PII_HIGH": last_four_strict,
-    "SENSITIVE_ID": last_four_strict,
-    "BUSINESS_KEY": pseudonym,
-    "FINANCIAL": None,
-}
+# Properties of the schema that holds the governed views.
+SCHEMA_TAGS = {"layer": "governance", "domain": "delivery", "contains_masked_views": "true"}
+
+Masks = Mapping[str, Callable[[Column], Column] | None]
+COMMENT = "classification: "
+
+
+def analyst_masks(secret: str | None = None) -> Masks:
+    """What an analyst sees of each class.  Financial values stay readable; business keys become pseudonyms, or
+    are hidden without a ``secret``."""
+    return {
+        "PII": initial_only,
+        "PII_HIGH": last_four_strict,
+        "SENSITIVE_ID": last_four_strict,
+        "BUSINESS_KEY": partial(pseudonym, secret=secret) if secret else hidden,
+        "FINANCIAL": None,
+    }
+
 
 # What the governed views show.  view -> (table, {column: SQL expression})
 _INITIAL = "substr(nome, 1, 1) || '***'"
@@ -90,19 +101,56 @@ def tag_columns(df: DataFrame, table: str, tags: Mapping[str, Mapping[str, str]]
     return df
 
 
-def tag_table(spark: SparkSession, qualified_name: str, table: str) -> None:
-    """Table tags as table properties."""
-    properties = ", ".join(f"'{key}' = '{value}'" for key, value in TABLE_TAGS[table].items())
-    spark.sql(f"ALTER TABLE {qualified_name} SET TBLPROPERTIES ({properties})")
+def _listed(tags: Mapping[str, str]) -> str:
+    return ", ".join(f"'{key}' = '{value}'" for key, value in tags.items())
 
 
-def classification_of(df: DataFrame) -> dict[str, str]:
-    return {f.name: f.metadata["classification"] for f in df.schema if "classification" in f.metadata}
+def tag_schema(spark: SparkSession, schema: str) -> None:
+    spark.sql(f"ALTER SCHEMA {schema} SET DBPROPERTIES ({_listed(SCHEMA_TAGS)})")
+
 
+def tag_table(spark: SparkSession, qualified_name: str, table: str) -> None:
+    """Table tags as table properties, column tags as comments: both are kept by the catalog and come back with a read."""
+    spark.sql(f"ALTER TABLE {qualified_name} SET TBLPROPERTIES ({_listed(TABLE_TAGS[table])})")
+    for column, classification in COLUMN_TAGS.get(table, {}).items():
+        spark.sql(f"ALTER TABLE {qualified_name} ALTER COLUMN {column} COMMENT '{COMMENT}{classification}'")
 
-def mask_by_tag(df: DataFrame, masks: Mapping[str, Callable[[Column], Column] | None] = ANALYST_MASKS) -> DataFrame:
-    """Mask every column by its classification tag; a class without a mask is hidden."""
+
+def classification_of(df: DataFrame) -> dict[str, str]:
+    """Classes of the tagged columns, from their metadata or, in a catalog table, their comments."""
+    found = {}
+    for f in df.schema:
+        comment = f.metadata.get("comment") or ""
+        if "classification" in f.metadata:
+            found[f.name] = f.metadata["classification"]
+        elif comment.startswith(COMMENT):
+            found[f.name] = comment.removeprefix(COMMENT)
+    return found
+
+
+def mask_table(spark: SparkSession, qualified_name: str, secret: str | None = None) -> DataFrame:
+    """A catalog table as an analyst may see it.
+
+    A table whose tags say that it holds personal or financial data, or that has no tags at all, is refused unless its columns
+    are classified: nothing is shown because a tag got lost.
+    """
+    table = qualified_name.split(".")[-1].strip("`")
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {qualified_name}").collect()}
+    df = spark.table(qualified_name)
+    missing = set(COLUMN_TAGS.get(table, {})) - set(classification_of(df))
+    if "classification" not in properties or missing:
+        raise ValueError(f"{qualified_name} has no classification for {sorted(missing) or 'the table'}; tag it first")
+    if not classification_of(df) and properties.get("contains_pii") != "false":
+        raise ValueError(f"no column of {qualified_name} is classified")
+    return mask_by_tag(df, analyst_masks(secret)) if classification_of(df) else df
+
+
+def mask_by_tag(df: DataFrame, masks: Masks | None = None) -> DataFrame:
+    """Mask every column by its classification tag; a class without a mask is hidden, a frame without tags refused."""
     classes = classification_of(df)
+    if not classes:
+        raise ValueError("no column is classified: tag the columns first")
+    masks = analyst_masks() if masks is None else masks
 
     def shown(name: str) -> Column:
         column = F.col(name)

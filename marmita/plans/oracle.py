@@ -373,7 +373,11 @@ _BODIES: dict[str, str] = {
         SELECT batch_id, client_id, substr(nome, 1, 1) || '***' AS nome, substr(endereco, 1, 1) || '***' AS endereco,
                '***' || right(cpf, 4) AS cpf, tipo_pagamento, created_at FROM s_clientes""",
     "mask_by_tag_orders": """
-        SELECT order_id, sha256(client_id) AS client_id, sha256(driver_id) AS driver_id, valor_total FROM s_orders""",
+        SELECT order_id, sha256('query-secret' || sha256('query-secret' || client_id)) AS client_id,
+               sha256('query-secret' || sha256('query-secret' || driver_id)) AS driver_id, valor_total FROM s_orders""",
+    "mask_catalog_table": """
+        SELECT batch_id, client_id, substr(nome, 1, 1) || '***' AS nome, substr(endereco, 1, 1) || '***' AS endereco,
+               '***' || right(cpf, 4) AS cpf, tipo_pagamento, created_at FROM s_clientes""",
     "layout_clustered": """
         SELECT order_date, restaurant_id, order_id, valor_total FROM s_orders
         WHERE order_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'""",

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marmita.jobs import run_governance
 from marmita.operators import bronze, cost, gold, governance, integrity, maintenance, quality, silver
 from marmita.plans.workspace import Workspace, workspace
 from marmita.rules import RULES
@@ -26,6 +27,8 @@ REGISTRY: dict[str, Query] = {}
 # Days the retention queries are taken as of, and the look-ahead of the cost ones.
 RETENTION_AS_OF = {"bronze": "2024-12-31", "silver": "2001-06-30", "gold": "2001-06-30"}
 SUBSCRIPTION = "subscription-1"
+#: Key of the pseudonyms in queries; a deployment passes its own.
+SECRET = "query-secret"
 
 ENTITIES = {
     "clientes": silver.CLIENTES,
@@ -270,7 +273,18 @@ def _(ws):
 @register("mask_by_tag_orders")
 def _(ws):
     tagged = governance.tag_columns(ws.orders(), "silver_orders")
-    return governance.mask_by_tag(tagged).select("order_id", "client_id", "driver_id", "valor_total")
+    masked = governance.mask_by_tag(tagged, governance.analyst_masks(SECRET))
+    return masked.select("order_id", "client_id", "driver_id", "valor_total")
+
+
+@register("mask_catalog_table")
+def _(ws):
+    """The masks as a reader of the catalog meets them, after the governance job."""
+    schema = f"masked_{uuid.uuid4().hex[:8]}"
+    ws.spark.sql(f"CREATE SCHEMA {schema} LOCATION '{ws.folder(schema)}'")
+    ws.lakehouse.register(schema)
+    run_governance(ws.spark, schema, schema)
+    return governance.mask_table(ws.spark, f"{schema}.silver_clientes").drop("silver_processed_at")
 
 
 # -- layout and maintenance -----------------------------------------------------

@@ -82,8 +82,6 @@ class Lakehouse:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         # Claimed keys are kept for good; off-heap state keeps them out of the executors' JVM heap.
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-        # Rule counts are summed over the progress reports, so enough of them must be kept.
-        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "10000")
 
     # -- places ---------------------------------------------------------------
 
@@ -164,18 +162,32 @@ class Lakehouse:
         for name, value in counts.items():
             total[name] = total.get(name, 0) + value
 
+    def _drain(self, table: str, query: StreamingQuery, seen: dict[str, int]) -> None:
+        """Add up the progress reports since the last look.  Spark keeps only the recent ones; a gap means that some
+        were lost, and counts that lack rows are not reported as if they were whole."""
+        for progress in query.recentProgress:
+            number = progress["batchId"]
+            if number <= seen.get(table, -1):
+                continue
+            if table in seen and number > seen[table] + 1:
+                raise RuntimeError(f"progress of {table} between micro-batches {seen[table]} and {number} was lost")
+            seen[table] = number
+            self.progress[table]["rows_read"] += progress["numInputRows"]
+            for metrics in (progress.get("observedMetrics") or {}).values():
+                self._add_counts(table, metrics if isinstance(metrics, dict) else metrics.asDict())
+
     def _finish(self, queries: Mapping[str, StreamingQuery]) -> None:
-        """Wait for all of them; the first failure is raised after the others ended."""
-        failure = None
-        for table, query in queries.items():
-            try:
-                query.awaitTermination()
-            except Exception as error:  # noqa: BLE001 - re-raised below
-                failure = failure or error
-            for progress in query.recentProgress:
-                self.progress[table]["rows_read"] += progress["numInputRows"]
-                for metrics in (progress.get("observedMetrics") or {}).values():
-                    self._add_counts(table, metrics if isinstance(metrics, dict) else metrics.asDict())
+        """Wait for all of them, adding up their progress as it comes; the first failure is raised after the others ended."""
+        failure, seen, running = None, {}, dict(queries)
+        while running:
+            for table, query in list(running.items()):
+                try:
+                    ended = query.awaitTermination(0.2)
+                except Exception as error:  # noqa: BLE001 - re-raised below
+                    failure, ended = failure or error, True
+                self._drain(table, query, seen)
+                if ended:
+                    del running[table]
         if failure:
             raise failure
 

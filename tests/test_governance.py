@@ -1,8 +1,9 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
-from conftest import client, driver, payload
+from conftest import client, driver, order, payload
 from marmita.functions.masks import initial_only, last_four, last_four_strict
 from marmita.operators import governance, integrity, silver
 
@@ -46,6 +47,26 @@ def test_nested_and_unknown_classes_are_hidden(batches):
     assert governance.mask_by_tag(odd).first().batch_id == "***"
 
 
+def test_untagged_frames_and_tables_are_refused(batches, spark, tmp_path):
+    plain = silver.dimension(batches(payload(clientes=[client()])), silver.CLIENTES)
+    with pytest.raises(ValueError):
+        governance.mask_by_tag(plain)
+    spark.sql(f"CREATE SCHEMA bare LOCATION '{tmp_path}/bare'")
+    plain.write.saveAsTable("bare.silver_clientes")
+    with pytest.raises(ValueError):
+        governance.mask_table(spark, "bare.silver_clientes")
+    governance.tag_table(spark, "bare.silver_clientes", "silver_clientes")
+    row = governance.mask_table(spark, "bare.silver_clientes").first()
+    assert (row.client_id, row.nome, row.cpf) == ("C1", "A***", "***8901")
+    spark.sql("DROP SCHEMA bare CASCADE")
+
+
+def test_pseudonyms_need_the_secret(batches):
+    orders = governance.tag_columns(silver.orders(batches(payload(orders=[order()]))), "silver_orders")
+    shown = {s: governance.mask_by_tag(orders, governance.analyst_masks(s)).first().client_id for s in (None, "a", "b")}
+    assert shown[None] == "***" and len(set(shown.values())) == 3 and len(shown["a"]) == 64
+
+
 def test_orphans_are_counted_by_key_and_row(spark):
     child = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "fk string")
     parent = spark.createDataFrame([("a",)], "k string")
