@@ -20,7 +20,7 @@ def _clock(seconds: str) -> str:
 
 
 def _batch(seq: str) -> str:
-    return f"lpad(CAST({seq} AS VARCHAR), 16, '0')"
+    return f"lpad(CAST({seq} AS VARCHAR), 20, '0')"
 
 
 def _rule(predicate: str) -> str:
@@ -50,24 +50,27 @@ _FIRST = {
 _CTES: dict[str, str] = {
     # one row per event
     "ev": f"""
-        SELECT k * 8 + kind AS seq, kind, k, {_batch('k * 8 + kind')} AS batch_id,
+        SELECT seq, kind, k, {_batch('seq')} AS batch_id,
                kind = 2 AND k % 50 = 8 AS missing, kind = 2 AND k % 50 = 7 AS unparsable
-        FROM (SELECT c_custkey AS k, 0 AS kind FROM customer UNION ALL
-              SELECT s_suppkey, 1 FROM supplier UNION ALL SELECT event_id, 2 FROM events UNION ALL
-              SELECT p_partkey, 3 FROM part UNION ALL SELECT o_orderkey, 4 FROM orders)""",
-    "li": f"""
-        SELECT l_orderkey, min(l_suppkey) AS suppkey, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity,
-               {', '.join(
-                   f'min(l_partkey) FILTER (WHERE l_partkey % 6 = {i}) AS item_{i}, '
-                   f'CAST(sum(CAST(l_quantity AS BIGINT)) FILTER (WHERE l_partkey % 6 = {i}) AS BIGINT) AS quantity_{i}, '
-                   f'CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) FILTER (WHERE l_partkey % 6 = {i}) AS BIGINT) AS cents_{i}'
-                   for i in range(6))}
-        FROM lineitem GROUP BY l_orderkey""",
+        FROM (SELECT c_custkey * 8 AS seq, c_custkey AS k, 0 AS kind FROM customer UNION ALL
+              SELECT s_suppkey * 8 + 1, s_suppkey, 1 FROM supplier UNION ALL
+              SELECT event_id * 8 + 2, event_id, 2 FROM events UNION ALL
+              SELECT p_partkey * 8 + 3, p_partkey, 3 FROM part UNION ALL SELECT seq, o_orderkey, 4 FROM os)""",
+    # every (order, part) pair, and the chunks of about eight parts that order events hold
+    "lp": """
+        SELECT l_orderkey, l_partkey, min(l_suppkey) AS suppkey, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS q,
+               CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS v
+        FROM lineitem GROUP BY l_orderkey, l_partkey""",
+    "li": """
+        SELECT l_orderkey, l_partkey % CAST(ceil(n / 8.0) AS BIGINT) AS chunk, min(suppkey) AS suppkey,
+               CAST(sum(q) AS BIGINT) AS quantity, list({'item': l_partkey, 'q': q, 'v': v}) AS lines
+        FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lp) GROUP BY 1, 2""",
     "os": f"""
-        SELECT orders.*, li.*, o_orderkey * 8 + 4 AS seq, {_batch('o_orderkey * 8 + 4')} AS batch_id,
+        SELECT *, {_batch('seq')} AS batch_id,
                CASE WHEN o_orderkey % 101 <> 0 THEN o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER))
                     + to_hours(CASE WHEN o_orderkey % 3 = 0 THEN 3 ELSE 0 END) END AS created
-        FROM orders LEFT JOIN li ON o_orderkey = l_orderkey""",
+        FROM (SELECT orders.*, li.*, (o_orderkey + coalesce(chunk, 0) * 68719476736) * 8 + 4 AS seq
+              FROM orders LEFT JOIN li ON o_orderkey = l_orderkey)""",
     "cl": f"""
         SELECT c_custkey * 8 AS seq, 0 AS pos, {_batch('c_custkey * 8')} AS batch_id,
                'C' || c_custkey AS client_id, c_name AS nome, n_name AS endereco,
@@ -100,12 +103,12 @@ _CTES: dict[str, str] = {
                p_name AS nome, {_CATEGORY}[CAST(p_partkey % 6 AS INTEGER) + 1] AS categoria,
                CASE WHEN p_partkey % 97 <> 0 THEN
                  TRY_CAST((CAST(round(p_retailprice * 100) AS BIGINT) + pos * 100) / 100.0 AS DECIMAL(10,2)) END AS preco,
-               'R' || (p_partkey % 100) AS merchant_id, {_clock('p_partkey * 60')} AS created_at
+               'R' || (p_partkey % (SELECT count(*) FROM supplier)) AS merchant_id, {_clock('p_partkey * 60')} AS created_at
         FROM (SELECT *, unnest(CASE WHEN p_partkey % 5 = 0 THEN [0, 1] ELSE [0] END) AS pos FROM part)""",
     # orders before their rules; 'amount' is the unrounded value
     "ord": f"""
         SELECT batch_id, 'P' || o_orderkey AS order_id, 'C' || o_custkey AS client_id, 'R' || suppkey AS merchant_id,
-               'R' || suppkey AS restaurant_id, 'D' || (o_orderkey % 200) AS driver_id,
+               'R' || suppkey AS restaurant_id, 'D' || (o_orderkey % (SELECT max(user_id) + 1 FROM events)) AS driver_id,
                TRY_CAST(trunc(quantity + CASE WHEN o_orderkey % 113 = 0 THEN 0.9 ELSE 0 END) AS INTEGER) AS quantidade_total,
                amount, TRY_CAST(amount AS DECIMAL(10,2)) AS valor_total,
                {_PAY}[CAST(o_custkey % 5 AS INTEGER) + 1] AS tipo_pagamento, created AS created_at,
@@ -113,8 +116,7 @@ _CTES: dict[str, str] = {
                CAST(month(created) AS INTEGER) AS order_month, CAST(day(created) AS INTEGER) AS order_day,
                CAST(hour(created) AS INTEGER) AS order_hour,
                CASE WHEN amount >= 200 THEN 'High' WHEN amount >= 100 THEN 'Medium' ELSE 'Low' END AS amount_category,
-               [x FOR x IN [{', '.join(f"{{'c': {i}, 'item': item_{i}, 'q': quantity_{i}, 'v': cents_{i}}}" for i in range(6))}]
-                  IF x.item IS NOT NULL] AS products
+               coalesce(lines, []) AS products, seq
         FROM (SELECT *, unnest(CASE WHEN o_orderkey % 211 = 0 THEN [0, 1] ELSE [0] END) AS copy,
                      CASE WHEN o_orderkey % 103 = 0 THEN CAST(199.999 AS DOUBLE) WHEN o_orderkey % 107 = 0 THEN -1
                           WHEN o_orderkey % 109 = 0 THEN 1000000000
@@ -131,7 +133,7 @@ _CTES: dict[str, str] = {
     "s_orders": f"SELECT * FROM ord WHERE {_all_rules('silver_orders')}",
     "oi": f"""
         SELECT batch_id, order_id, 'I' || p.item AS item_id, 'Item ' || p.item AS nome,
-               {_CATEGORY}[p.c + 1] AS categoria,
+               {_CATEGORY}[CAST(p.item % 6 AS INTEGER) + 1] AS categoria,
                TRY_CAST(CAST(p.v // nullif(p.q, 0) AS DOUBLE) / 100 AS DECIMAL(10,2)) AS preco,
                TRY_CAST(p.q AS INTEGER) AS quantidade,
                TRY_CAST(CAST(p.v AS DOUBLE) / 100 AS DECIMAL(10,2)) AS valor_total_item, created_at
@@ -298,7 +300,7 @@ _BODIES: dict[str, str] = {
         FROM (SELECT kind, missing, unparsable, {_PAY}[CAST(c % 5 AS INTEGER) + 1] AS pay
               FROM (SELECT CAST(seq % 8 AS BIGINT) AS kind, missing, unparsable, CASE WHEN kind = 0 THEN k END AS c
                     FROM ev WHERE kind <> 4
-                    UNION ALL SELECT 4, false, false, o_custkey FROM orders)) GROUP BY kind""",
+                    UNION ALL SELECT 4, false, false, o_custkey FROM os)) GROUP BY kind""",
     "bronze_parse": f"""
         SELECT seq AS sequence_number, {_HEADER.format('batch_id')} AS batch_id,
                CASE WHEN kind IN (0, 4) THEN 1 END AS n_clientes,
@@ -318,7 +320,9 @@ _BODIES: dict[str, str] = {
         SELECT seq AS sequence_number, {_HEADER.format('batch_id')} AS batch_id,
                {_HEADER.format(f'CAST({_clock("seq")} AS DATE)')} AS event_date FROM ev""",
     "silver_orders": f"SELECT {_ORDER_COLUMNS}, CAST(len(products) AS INTEGER) AS n_produtos FROM s_orders",
-    "silver_orders_dedup": f"SELECT DISTINCT {_ORDER_COLUMNS} FROM s_orders",
+    "silver_orders_dedup": f"""
+        SELECT {_ORDER_COLUMNS} FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY seq) AS rn FROM ord)
+        WHERE rn = 1 AND {_all_rules('silver_orders')}""",
     "silver_order_items": "SELECT * FROM s_order_items",
     "stream_chain": "SELECT * FROM s_order_items",
     "unnest_outer": " UNION ALL ".join(

@@ -1,8 +1,8 @@
 """The given tables as a feed of archived delivery events.
 
-Every source row becomes one event, so an event's size never depends on how
-often a key occurs; the product list of an order is built by plain aggregation
-into at most one line per menu category.  Nothing is collected per key.
+Every source row becomes one event, an order with many parts several, so an
+event's size never depends on how often a key occurs.  Every part that an order
+has in the given lines is a product line.
 
 The feed holds, on purpose, the faults a real one has: unparsable and missing
 bodies, leaves of the wrong type, entities that break rules, repeated keys
@@ -25,6 +25,9 @@ VEHICLES = ("moto", "carro", "bicicleta", "patinete")
 # Each table's events have their own residue, which keeps sequence numbers apart.
 KINDS = {"customer": 0, "supplier": 1, "events": 2, "part": 3, "orders": 4}
 STRIDE = 8
+# Parts per order event, about, and how far apart the events of one order are numbered.
+CHUNK = 8
+CHUNK_STRIDE = 1 << 36
 EPOCH = 1704067200  # 2024-01-01T00:00:00Z
 YEAR_SECONDS = 31536000
 
@@ -49,7 +52,7 @@ def _events(rows: DataFrame, kind: str, key: str, tables: Column, body: Column |
             us_time: bool = False) -> DataFrame:
     """Wrap one payload per row into the capture envelope."""
     numbered = rows.withColumn("seq", F.expr(f"{key} * {STRIDE} + {KINDS[kind]}"))
-    batch_id = F.expr("lpad(cast(seq as string), 16, '0')")
+    batch_id = F.expr("lpad(cast(seq as string), 20, '0')")
     payload = F.to_json(F.struct(
         batch_id.alias("batch_id"),
         F.expr(f"{_iso(_enqueued('seq'))} || '+00:00'").alias("ingestion_ts"),
@@ -122,14 +125,14 @@ def _driver_events(events: DataFrame) -> DataFrame:
     return _events(events, "events", "event_id", F.struct(F.array(driver).alias("drivers")), body)
 
 
-def _item_events(parts: DataFrame) -> DataFrame:
+def _item_events(parts: DataFrame, restaurants: int) -> DataFrame:
     def item(price: str) -> Column:
         return F.struct(
             _id("I", "p_partkey").alias("ItemID"),
             F.col("p_name").alias("nome"),
             _pick(CATEGORIES, "p_partkey").alias("categoria"),
             F.expr(f"cast(cast(round(p_retailprice * 100) as bigint) + {price} as double) / 100D").alias("preco"),
-            _id("R", "p_partkey % 100").alias("MerchantID"),
+            _id("R", f"p_partkey % {restaurants}").alias("MerchantID"),
             F.expr(f"{_iso(_enqueued('p_partkey * 60'))} || '+00:00'").alias("created_at"),
         )
 
@@ -142,46 +145,49 @@ def _item_events(parts: DataFrame) -> DataFrame:
 
 
 def lines_by_order(lineitem: DataFrame) -> DataFrame:
-    """Per order: restaurant, quantity, and per category its item, quantity and value.
+    """(l_orderkey, chunk, suppkey, quantity, lines): every part of an order, in chunks of about ``CHUNK`` parts.
 
-    Fixed-size aggregates only, combined before the shuffle.
+    Lines are summed per order and part before anything is gathered, and an
+    order of many parts becomes many small chunks, so no event and no group
+    grows with a hot order.
     """
     lines = lineitem.select(
         "l_orderkey", "l_suppkey", "l_partkey",
         F.expr("cast(l_quantity as bigint)").alias("quantity"),
         F.expr("cast(round(l_extendedprice * 100) as bigint)").alias("cents"),
     )
-    measures = [F.min("l_suppkey").alias("suppkey"), F.sum("quantity").alias("quantity")]
-    for i in range(len(CATEGORIES)):
-        inside = F.col("l_partkey") % len(CATEGORIES) == i
-        measures += [
-            F.min(F.when(inside, F.col("l_partkey"))).alias(f"item_{i}"),
-            F.sum(F.when(inside, F.col("quantity"))).alias(f"quantity_{i}"),
-            F.sum(F.when(inside, F.col("cents"))).alias(f"cents_{i}"),
-        ]
-    return lines.groupBy("l_orderkey").agg(*measures)
-
-
-def _order_events(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    per_part = lines.groupBy("l_orderkey", "l_partkey").agg(
+        F.min("l_suppkey").alias("suppkey"), F.sum("quantity").alias("quantity"), F.sum("cents").alias("cents"))
+    n_parts = per_part.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_parts"))
+    chunked = per_part.join(n_parts, "l_orderkey").withColumn(
+        "chunk", F.expr(f"l_partkey % ceil(n_parts / {CHUNK})"))
+    return chunked.groupBy("l_orderkey", "chunk").agg(
+        F.min("suppkey").alias("suppkey"), F.sum("quantity").alias("quantity"),
+        F.array_sort(F.collect_list(F.struct("l_partkey", "quantity", "cents"))).alias("lines"))
+
+
+def _order_events(orders: DataFrame, lineitem: DataFrame, drivers: int) -> DataFrame:
     created = (
         "if(o_orderkey % 101 = 0, '31/12/1998 10:00', "
         f"{_iso('o_orderdate + make_dt_interval(0, cast(o_orderkey % 24 as int))')}"
         " || if(o_orderkey % 3 = 0, '-03:00', '+00:00'))"
     )
 
-    def product(i: int) -> Column:
-        present = F.struct(
-            _id("I", f"item_{i}").alias("ItemID"),
-            F.expr(f"'Item ' || cast(item_{i} as string)").alias("nome"),
-            F.lit(CATEGORIES[i]).alias("categoria"),
-            F.expr(f"cast(cents_{i} div nullif(quantity_{i}, 0) as double) / 100D").alias("preco"),
-            _id("R", "suppkey").alias("MerchantID"),
-            F.expr(f"cast(quantity_{i} as double)").alias("quantidade"),
-            F.expr(f"cast(cents_{i} as double) / 100D").alias("valor_total_item"),
+    def product(line: Column) -> Column:
+        part, quantity, cents = (line[c] for c in ("l_partkey", "quantity", "cents"))
+        category = F.element_at(F.array(*map(F.lit, CATEGORIES)), (part % len(CATEGORIES) + 1).cast("int"))
+        return F.struct(
+            F.concat(F.lit("I"), part.cast("string")).alias("ItemID"),
+            F.concat(F.lit("Item "), part.cast("string")).alias("nome"),
+            category.alias("categoria"),
+            (F.floor(cents / F.nullif(quantity, F.lit(0))).cast("double") / 100).alias("preco"),
+            F.concat(F.lit("R"), F.col("suppkey").cast("string")).alias("MerchantID"),
+            quantity.cast("double").alias("quantidade"),
+            (cents.cast("double") / 100).alias("valor_total_item"),
             F.col("created").alias("created_at"),
         )
-        return F.when(F.col(f"item_{i}").isNotNull(), present)
 
+    products = F.coalesce(F.transform("lines", product), F.array())
     client = F.struct(
         _id("C", "o_custkey").alias("ClientID"),
         F.expr("'Customer#' || lpad(cast(o_custkey as string), 9, '0')").alias("nome"),
@@ -194,8 +200,8 @@ def _order_events(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         _id("P", "o_orderkey").alias("PedidoID"),
         _id("C", "o_custkey").alias("ClientID"),
         _id("R", "suppkey").alias("MerchantID"),
-        _id("D", "o_orderkey % 200").alias("DriversID"),
-        F.array_compact(F.array(*(product(i) for i in range(len(CATEGORIES))))).alias("Produtos"),
+        _id("D", f"o_orderkey % {drivers}").alias("DriversID"),
+        products.alias("Produtos"),
         F.expr("cast(quantity as double) + if(o_orderkey % 113 = 0, 0.9D, 0D)").alias("quantidade_total"),
         F.expr(
             "case when o_orderkey % 103 = 0 then 199.999D when o_orderkey % 107 = 0 then -1D "
@@ -208,8 +214,9 @@ def _order_events(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     sent = F.array_repeat(order, F.expr("if(o_orderkey % 211 = 0, 2, 1)"))
     rows = orders.join(
         lines_by_order(lineitem), F.col("o_orderkey") == F.col("l_orderkey"), "left",
-    ).withColumn("created", F.expr(created))
-    return _events(rows, "orders", "o_orderkey", F.struct(F.array(client).alias("clientes"), sent.alias("orders")))
+    ).withColumn("created", F.expr(created)).withColumn(
+        "event", F.expr(f"o_orderkey + coalesce(chunk, 0) * {CHUNK_STRIDE}"))
+    return _events(rows, "orders", "event", F.struct(F.array(client).alias("clientes"), sent.alias("orders")))
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,12 +224,15 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     def read(name: str) -> DataFrame:
         return read_table(spark, sf_dir, name)
 
+    # Two numbers: items and orders are dealt over as many restaurants and drivers as there are.
+    restaurants = max(1, read("supplier").count())
+    drivers = max(1, (read("events").agg(F.max("user_id")).first()[0] or 0) + 1)
     parts = [
         _client_events(read("customer"), read("nation")),
         _restaurant_events(read("supplier"), read("nation")),
         _driver_events(read("events")),
-        _item_events(read("part")),
-        _order_events(read("orders"), read("lineitem")),
+        _item_events(read("part"), restaurants),
+        _order_events(read("orders"), read("lineitem"), drivers),
     ]
     union = parts[0]
     for part in parts[1:]:

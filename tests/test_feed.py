@@ -18,26 +18,32 @@ def events(spark):
     return feed.feed(spark, SF).cache()
 
 
-def test_one_event_per_source_row(spark, events):
-    rows = sum(read_table(spark, SF, t).count() for t in ("customer", "supplier", "events", "part", "orders"))
+def test_one_event_per_source_row_or_chunk(spark, events):
+    rows = sum(read_table(spark, SF, t).count() for t in ("customer", "supplier", "events", "part"))
+    orders, chunks = read_table(spark, SF, "orders"), feed.lines_by_order(read_table(spark, SF, "lineitem"))
+    rows += orders.join(chunks, orders.o_orderkey == chunks.l_orderkey, "left").count()
     assert events.count() == events.select("SequenceNumber").distinct().count() == rows
     assert events.schema.simpleString() == spark.createDataFrame([], ENVELOPE_DDL).schema.simpleString()
 
 
-def test_orders_hold_at_most_one_line_per_category(spark, events):
+def test_every_part_of_an_order_is_a_line(spark, events):
     bodies = events.filter(F.col("SequenceNumber") % feed.STRIDE == feed.KINDS["orders"]).select(
         F.from_json(F.col("Body").cast("string"), payload_ddl()).alias("p"))
-    lines = bodies.select(F.explode("p.tables.orders").alias("o")).select(F.array_size("o.Produtos").alias("n"))
-    low, high = lines.agg(F.min("n"), F.max("n")).first()
-    assert low == 0 and 2 < high <= len(feed.CATEGORIES)
-
-
-def test_lines_add_up_to_the_given_table(spark):
-    per_order = feed.lines_by_order(read_table(spark, SF, "lineitem"))
-    total = sum((F.coalesce(F.col(f"quantity_{i}"), F.lit(0)) for i in range(6)), F.lit(0))
-    ours = per_order.agg(F.sum(total), F.sum("quantity")).first()
-    given = read_table(spark, SF, "lineitem").agg(F.sum("l_quantity")).first()[0]
-    assert ours[0] == ours[1] == int(given)
+    lines = bodies.select(F.explode("p.tables.orders").alias("o")).select("o.PedidoID", F.explode("o.Produtos.ItemID"))
+    given = read_table(spark, SF, "lineitem").join(
+        read_table(spark, SF, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_partkey")
+    assert lines.distinct().count() == given.distinct().count()
+
+
+def test_lines_add_up_and_a_hot_order_is_cut(spark):
+    given = read_table(spark, SF, "lineitem")
+    hot = given.withColumn("l_orderkey", F.lit(7).cast("bigint"))
+    for lines in (given, hot):
+        chunks = feed.lines_by_order(lines)
+        in_lines = F.aggregate("lines", F.lit(0).cast("bigint"), lambda a, x: a + x["quantity"])
+        ours = chunks.agg(F.sum(in_lines), F.sum("quantity"), F.max(F.size("lines"))).first()
+        assert ours[0] == ours[1] == int(lines.agg(F.sum("l_quantity")).first()[0])
+        assert ours[2] <= 3 * feed.CHUNK
 
 
 def test_feed_has_its_faults(events):
