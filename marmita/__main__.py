@@ -8,6 +8,7 @@ from marmita import jobs
 from marmita.operators.maintenance import TARGET_FILE_BYTES
 from marmita.session import build_session
 from marmita.sources.generator import Volume
+from marmita.streaming.runner import Lakehouse
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -46,6 +47,16 @@ def arguments() -> argparse.ArgumentParser:
     maintenance.add_argument("tables", nargs="+")
     maintenance.add_argument("--target-root", required=True)
     maintenance.add_argument("--target-bytes", type=int, default=TARGET_FILE_BYTES)
+
+    compact = jobs_of.add_parser("compact", help="rewrite the versioned tables of a lakehouse between updates")
+    compact.add_argument("--root", required=True)
+    compact.add_argument("--schema", help="schema whose catalog tables follow")
+    compact.add_argument("--keep-versions", type=int, default=2)
+
+    retention = jobs_of.add_parser("retention", help="store the rows that are still to be kept in new folders")
+    retention.add_argument("--root", required=True)
+    retention.add_argument("--target-root", required=True)
+    retention.add_argument("--as-of", required=True, help="day, such as 2024-12-31")
     return parser
 
 
@@ -67,6 +78,10 @@ def main(argv: list[str] | None = None) -> None:
         jobs.run_cost(spark, args.responses, args.subscription, args.schema, args.lookback_days).show(100, False)
     elif args.job == "governance":
         print(jobs.run_governance(spark, args.schema, args.governance_schema))
+    elif args.job == "compact":
+        print(jobs.run_live_maintenance(Lakehouse(spark, args.root, ""), args.schema, args.keep_versions))
+    elif args.job == "retention":
+        print(jobs.run_retention(Lakehouse(spark, args.root, ""), args.target_root, args.as_of))
     else:
         tables = dict(pair.split("=", 1) for pair in args.tables)
         print(jobs.run_maintenance(spark, tables, args.target_root, args.target_bytes))

@@ -100,8 +100,10 @@ ORDER_ITEMS = Entity("silver_order_items", "produtos", (
     ("created_at", "created_at", "timestamp"),
 ), None, RULES["silver_order_items"])
 
-# What decides which of two rows came first.
-ARRIVAL = ("sequence_number", "position")
+# What decides which of two rows came first.  Sequence numbers count per bus
+# partition, so the time of arrival at the bus comes first.
+ARRIVAL = ("enqueued_time_utc", "sequence_number", "position")
+ARRIVAL_DDL = "enqueued_time_utc TIMESTAMP, sequence_number BIGINT, position INT"
 
 DEDUPLICATED = (CLIENTES, RESTAURANTES, DRIVERS, ITEMS)
 
@@ -159,32 +161,39 @@ def entity_rows(batches: DataFrame, entity: Entity) -> DataFrame:
     )
 
 
-def _first(rows: DataFrame, key: str) -> DataFrame:
-    """The earliest of all rows with a key.
+def earliest(rows: DataFrame, key: str) -> DataFrame:
+    """The earliest of all rows with a key, with its arrival.
 
-    Arrival is (sequence number, position in the document); rows that still tie
+    Arrival is (time at the bus, sequence number, position in the document); rows that still tie
     are ordered by content, so the result does not depend on task timing.  Spark
     plans ``row_number() = 1`` with a per-task limit ahead of the shuffle: a key
     that fills a third of the input sends one row per task.
     """
     content = [c for c in rows.columns if c not in (key, *ARRIVAL)]
-    earliest = Window.partitionBy(key).orderBy(*ARRIVAL, *content)
-    return (
-        rows.withColumn("arrival", F.row_number().over(earliest))
-        .filter("arrival = 1").drop("arrival", *ARRIVAL)
-    )
+    order = Window.partitionBy(key).orderBy(*ARRIVAL, *content)
+    return rows.withColumn("arrival", F.row_number().over(order)).filter("arrival = 1").drop("arrival")
 
 
-def first_arrivals(batches: DataFrame, entity: Entity, validate_first: bool = False,
-                   rules: Rules | None = None) -> DataFrame:
-    """Batch dedup of an entity before its rules, or after them with ``validate_first``."""
+def _first(rows: DataFrame, key: str) -> DataFrame:
+    return earliest(rows, key).drop(*ARRIVAL)
+
+
+def claims(batches: DataFrame, entity: Entity, validate_first: bool = False,
+           rules: Rules | None = None) -> DataFrame:
+    """The first arrival of each key of an entity, with its arrival: before the rules, or after them with ``validate_first``."""
     rows = batches.select(
-        "sequence_number", "batch_id",
+        *ARRIVAL[:2], "batch_id",
         F.posexplode_outer(f"tables.{entity.array}").alias("position", "record"),
     ).select(*ARRIVAL, "batch_id", *_typed("record", entity))
     if validate_first:
         rows = keep_valid(rows, entity.rules if rules is None else rules)
-    return _first(rows, entity.key)
+    return earliest(rows, entity.key)
+
+
+def first_arrivals(batches: DataFrame, entity: Entity, validate_first: bool = False,
+                   rules: Rules | None = None) -> DataFrame:
+    """Batch dedup of an entity before its rules, or after them with ``validate_first``."""
+    return claims(batches, entity, validate_first, rules).drop(*ARRIVAL)
 
 
 def first_of_each_chunk(df: DataFrame, key: str) -> DataFrame:
@@ -241,7 +250,7 @@ def order_rows(batches: DataFrame, products: bool = True, arrival: bool = False)
     wanted = Entity(ORDERS.table, ORDERS.array, columns)
     if arrival:
         unnested = batches.select(
-            "sequence_number", "batch_id", F.posexplode_outer("tables.orders").alias("position", "record"))
+            *ARRIVAL[:2], "batch_id", F.posexplode_outer("tables.orders").alias("position", "record"))
     else:
         unnested = batches.select("batch_id", F.explode_outer("tables.orders").alias("record"))
     leading = ARRIVAL if arrival else ()

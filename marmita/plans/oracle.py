@@ -144,7 +144,7 @@ for _name, (_rows, _key, _columns) in _FIRST.items():
     _table = f"silver_{_name}"
     _CTES[f"first_{_name}"] = f"""
         SELECT batch_id, {_columns} FROM (
-          SELECT *, row_number() OVER (PARTITION BY {_key} ORDER BY seq, pos) AS rn FROM {_rows}) WHERE rn = 1"""
+          SELECT *, row_number() OVER (PARTITION BY {_key} ORDER BY seq % 31536000, seq, pos) AS rn FROM {_rows}) WHERE rn = 1"""
     # events without this entity collapse into one null key, claimed by the earliest of them
     _kind = {"clientes": "(0, 4)", "restaurantes": "(1)", "drivers": "(2)", "items": "(3)"}[_name]
     _nulls = ", ".join("NULL" for _ in _columns.split(","))
@@ -153,13 +153,13 @@ for _name, (_rows, _key, _columns) in _FIRST.items():
         WHERE kind NOT IN {_kind} OR missing OR unparsable"""
     _CTES[f"claimed_{_name}"] = f"""
         SELECT * FROM first_{_name} UNION ALL
-        SELECT batch_id, {_nulls} FROM (SELECT batch_id FROM null_{_name} ORDER BY seq LIMIT 1)"""
+        SELECT batch_id, {_nulls} FROM (SELECT batch_id FROM null_{_name} ORDER BY seq % 31536000, seq LIMIT 1)"""
     _CTES[f"outer_{_name}"] = f"""
         SELECT batch_id, {_columns} FROM {_rows} UNION ALL SELECT batch_id, {_nulls} FROM null_{_name}"""
     _CTES[f"s_{_name}"] = f"SELECT * FROM first_{_name} WHERE {_all_rules(_table)}"
     _CTES[f"vf_{_name}"] = f"""
         SELECT batch_id, {_columns} FROM (
-          SELECT *, row_number() OVER (PARTITION BY {_key} ORDER BY seq, pos) AS rn FROM {_rows}
+          SELECT *, row_number() OVER (PARTITION BY {_key} ORDER BY seq % 31536000, seq, pos) AS rn FROM {_rows}
           WHERE {_all_rules(_table)}) WHERE rn = 1"""
 
 _COST_KEYS = ("usage_date, resource_id, resource_type, resource_group, service_name, meter_category, "
@@ -321,7 +321,7 @@ _BODIES: dict[str, str] = {
                {_HEADER.format(f'CAST({_clock("seq")} AS DATE)')} AS event_date FROM ev""",
     "silver_orders": f"SELECT {_ORDER_COLUMNS}, CAST(len(products) AS INTEGER) AS n_produtos FROM s_orders",
     "silver_orders_dedup": f"""
-        SELECT {_ORDER_COLUMNS} FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY seq) AS rn FROM ord)
+        SELECT {_ORDER_COLUMNS} FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY seq % 31536000, seq) AS rn FROM ord)
         WHERE rn = 1 AND {_all_rules('silver_orders')}""",
     "silver_order_items": "SELECT * FROM s_order_items",
     "stream_chain": "SELECT * FROM s_order_items",
@@ -451,6 +451,10 @@ _BODIES: dict[str, str] = {
         f"SELECT '{t}' AS table_name, count(*) AS rows, CAST(sum({_broken_count(t)}) AS BIGINT) AS broken_rules "
         f"FROM {rows} WHERE NOT ({_all_rules(t)})"
         for t, rows in _UNCHECKED.items()),
+    "maintenance_then_update": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS lakehouse_rows, count(*) AS catalog_rows, "
+        f"{'count(*)' if t == 'silver_clientes' else 'CAST(NULL AS BIGINT)'} AS view_rows FROM {rows}"
+        for t, rows in _STORED.items() if t in ("silver_clientes", "silver_restaurantes", "silver_drivers", "silver_items")),
     "stream_equals_batch": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS batch_rows, count(*) AS stream_rows, true AS same_content FROM {rows}"
         for t, rows in _STORED.items() if t.startswith("silver")),
@@ -471,5 +475,8 @@ _CTES["oi_outer"] = """
     SELECT batch_id, order_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM s_orders WHERE len(products) = 0"""
 
 
+_BODIES["stream_split_equals_batch"] = _BODIES["stream_equals_batch"]
+
+
 def oracle() -> dict[str, str]:
     return {name: sql(body) for name, body in _BODIES.items()}

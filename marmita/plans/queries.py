@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marmita.jobs import run_governance
+from marmita.jobs import run_governance, run_live_maintenance
 from marmita.operators import bronze, cost, gold, governance, integrity, maintenance, quality, silver
 from marmita.plans.workspace import Workspace, workspace
 from marmita.rules import RULES
@@ -30,6 +30,7 @@ SUBSCRIPTION = "subscription-1"
 #: Key of the pseudonyms in queries; a deployment passes its own.
 SECRET = "query-secret"
 
+ENTITY_TABLES = tuple(entity.table for entity in silver.DEDUPLICATED)
 ENTITIES = {
     "clientes": silver.CLIENTES,
     "restaurantes": silver.RESTAURANTES,
@@ -562,8 +563,42 @@ def _(ws):
     return counts
 
 
+@register("stream_split_equals_batch")
+def _(ws):
+    """The feed in many micro-batches whose files interleave in arrival, against the batch form."""
+    files = ws.folder(f"interleaved-{uuid.uuid4().hex[:8]}")
+    _arrivals(ws).drop("arrival").repartition(12, F.xxhash64("SequenceNumber")).write.parquet(files)
+    house = Lakehouse(ws.spark, f"{files}-tables", files, source_options={"maxFilesPerTrigger": "1"}, batch_bytes=1)
+    house.update_bronze()
+    house.update_silver()
+    return _same_content(ws, house)
+
+
+@register("maintenance_then_update")
+def _(ws):
+    """Compact, update, compact again: rows by the lakehouse, by the catalog and by a view on it."""
+    name = f"live_{uuid.uuid4().hex[:8]}"
+    files = ws.folder(f"{name}-files")
+    house = Lakehouse(ws.spark, ws.folder(name), files)
+    ws.spark.sql(f"CREATE SCHEMA {name} LOCATION '{ws.folder(name)}-schema'")
+    for arrival in (0, 1):
+        _arrivals(ws).filter(F.col("arrival") == arrival).drop("arrival").write.mode("append").parquet(files)
+        house.update()
+        run_live_maintenance(house, name)
+    run_governance(ws.spark, name, name)
+    counts = [maintenance.row_counts({t: read(t) for t in ENTITY_TABLES}).withColumnRenamed("rows", side) for side, read in (
+        ("lakehouse_rows", house.read), ("catalog_rows", lambda t: ws.spark.table(f"{name}.{t}")))]
+    view = maintenance.row_counts({"silver_clientes": ws.spark.table(f"{name}.vw_clientes_analyst")}).withColumnRenamed(
+        "rows", "view_rows")
+    return counts[0].join(counts[1], "table_name").join(view, "table_name", "left")
+
+
 @register("stream_equals_batch")
 def _(ws):
+    return _same_content(ws, ws.lakehouse)
+
+
+def _same_content(ws: Workspace, house: Lakehouse) -> DataFrame:
     """Content checksums of the streamed tables next to those of the batch form."""
     batch = ws.silver()
 
@@ -575,7 +610,7 @@ def _(ws):
     result = None
     for name, df in batch.items():
         one = checksum(df, name, df.columns, "batch").join(
-            checksum(ws.lakehouse.read(name), name, df.columns, "stream"), "table_name")
+            checksum(house.read(name), name, df.columns, "stream"), "table_name")
         one = one.select(
             "table_name", "batch_rows", "stream_rows",
             (F.col("batch_sum") == F.col("stream_sum")).alias("same_content"))

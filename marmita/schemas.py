@@ -109,4 +109,4 @@ def payload_ddl(keep: Keep | None = None) -> str:
 
 def batches_ddl(keep: Keep | None = None) -> str:
     """Read schema of the parsed batch table: what silver needs of it."""
-    return f"sequence_number BIGINT, batch_id STRING, tables {tables_ddl(keep)}"
+    return f"sequence_number BIGINT, enqueued_time_utc TIMESTAMP, batch_id STRING, tables {tables_ddl(keep)}"

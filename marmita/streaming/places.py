@@ -1,0 +1,71 @@
+"""Where the rows of a table are now: small numbered files that every writer, reader and catalog entry goes by."""
+
+from __future__ import annotations
+
+import json
+from dataclasses import asdict, dataclass
+
+from pyspark.sql import SparkSession
+
+
+@dataclass(frozen=True)
+class Place:
+    """The current folders of a table, and which micro-batches and updates are in them."""
+
+    folder: str
+    settled: str = ""
+    covered: int = -1
+    update: int = 0
+
+
+class Places:
+    """One folder of numbered files per table; the last one counts.
+
+    A file appears by a rename after its content is complete, and only after
+    the folders that it names are written.  So a reader meets the old place or
+    the new one, never a half-written table.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+
+    def _path(self, *parts: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts)))
+
+    def _system(self):
+        return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _numbers(self, table: str) -> list[int]:
+        system, folder = self._system(), self._path(table)
+        if not system.exists(folder):
+            return []
+        names = (status.getPath().getName() for status in system.listStatus(folder))
+        return sorted(int(name.removesuffix(".json")) for name in names if name.endswith(".json") and name[0].isdigit())
+
+    def get(self, table: str) -> Place | None:
+        numbers = self._numbers(table)
+        if not numbers:
+            return None
+        stream = self._system().open(self._path(table, f"{numbers[-1]:09d}.json"))
+        text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        return Place(**json.loads(text))
+
+    def put(self, table: str, place: Place) -> None:
+        number = (self._numbers(table) or [0])[-1] + 1
+        system, draft = self._system(), self._path(table, f"_{number:09d}")
+        stream = system.create(draft, True)
+        stream.write(bytearray(json.dumps(asdict(place)), "utf-8"))
+        stream.close()
+        if not system.rename(draft, self._path(table, f"{number:09d}.json")):
+            raise RuntimeError(f"the place of {table} was changed by another writer")
+
+    def delete(self, path: str) -> None:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        self._system().delete(where, True)
+
+    def folders(self, path: str) -> list[str]:
+        system, where = self._system(), self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        if not system.exists(where):
+            return []
+        return sorted(s.getPath().getName() for s in system.listStatus(where) if s.isDirectory())

@@ -8,8 +8,11 @@ micro-batch exactly once.
 The entity tables keep the first arrival of each key, in one of two ways:
 
 ``arrival``  Each micro-batch is reduced to its first row per key by arrival
-             order, and keys claimed by earlier micro-batches are taken out by
-             an anti join.  Which row wins never depends on task timing, so the
+             order and stored, without a look at what came before.  Once per
+             update these claims are settled: new keys are appended, and a key
+             whose earlier arrival shows up later gets that row instead, in a
+             new version of the table.  Which row wins depends neither on task
+             timing nor on how the input was split into micro-batches, so the
              table equals its batch form, and a key that fills a third of the
              input is cut to one row per task before any shuffle.
 ``state``    ``dropDuplicates`` with claimed keys in the state store; within one
@@ -20,6 +23,7 @@ The entity tables keep the first arrival of each key, in one of two ways:
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +35,7 @@ from marmita.operators.quality import Rules, keep_valid, quarantine, warn
 from marmita.rules import RULES
 from marmita.schemas import batches_ddl
 from marmita.sources.capture import capture_rows, stream_capture
+from marmita.streaming.places import Place, Places
 from marmita.tables import BRONZE_BATCHES, BRONZE_RAW, GOLD_TABLES, SCHEMAS
 
 SILVER = tuple(table for table in SCHEMAS if table.startswith("silver_"))
@@ -77,6 +82,7 @@ class Lakehouse:
         self.source_options = dict(source_options or {})
         if not any(option.lower().startswith("max") for option in self.source_options):
             self.source_options |= self.batch_bytes
+        self.places = Places(spark, f"{self.root}/current")
         # Progress figures of the last update: table -> rows read and rule counts.
         self.progress: dict[str, dict] = {}
         spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -95,6 +101,11 @@ class Lakehouse:
         """First arrivals of an entity before its rules, one folder per micro-batch."""
         return f"{self.root}/claims/{table}"
 
+    def location(self, table: str) -> str:
+        """The folder that holds the table now: the version its place names, or the file sink's folder."""
+        place = self.places.get(table)
+        return f"{self.path(table)}/{place.folder}" if place else self.path(table)
+
     def read(self, table: str, schema: str | None = None) -> DataFrame:
         """Batch read with classification tags.
 
@@ -102,7 +113,7 @@ class Lakehouse:
         """
         reader = self.spark.read.format(self.table_format).option("recursiveFileLookup", "true")
         declared = schema or SCHEMAS.get(table)
-        return tag_columns((reader.schema(declared) if declared else reader).load(self.path(table)), table)
+        return tag_columns((reader.schema(declared) if declared else reader).load(self.location(table)), table)
 
     def follow(self, table: str, schema: str | None = None) -> DataFrame:
         """Streaming read of a table written by another query."""
@@ -127,29 +138,9 @@ class Lakehouse:
         self.progress[table] = {"rows_read": 0, "rules": {}}
 
         def write_batch(batch: DataFrame, number: int) -> None:
-            """Safe to repeat: a micro-batch overwrites only its own folders and ignores its own claims."""
-            spark = batch.sparkSession
-            first = silver.first_arrivals(batch, entity, self.validate_first, rules)
-            if number > 0:
-                taken = (
-                    spark.read.format(self.table_format)
-                    .schema(f"{entity.key} STRING, claimed_in BIGINT").load(self.claims(table))
-                    .filter(F.col("claimed_in") < number).select(F.col(entity.key).alias("taken"))
-                )
-                first = first.join(taken, F.col(entity.key).eqNullSafe(F.col("taken")), "left_anti")
-            folder = f"{self.claims(table)}/claimed_in={number}"
-            first.write.mode("overwrite").format(self.table_format).save(folder)
-
-            counted = Observation()
-            claimed = spark.read.format(self.table_format).schema(first.schema).load(folder)
-            valid = keep_valid(warn(claimed, rules, counted), rules)
-            outputs = {table: valid}
-            if self.keep_rejected:
-                outputs[rejected(table)] = quarantine(claimed, rules)
-            for name, rows in outputs.items():
-                silver.stamped(rows).write.mode("overwrite").format(self.table_format).save(
-                    f"{self.path(name)}/batch-{number:09d}")
-            self._add_counts(table, counted.get)
+            """Safe to repeat: a micro-batch overwrites only its own folder."""
+            first = silver.claims(batch, entity, self.validate_first, rules)
+            first.write.mode("overwrite").format(self.table_format).save(f"{self.claims(table)}/claimed_in={number}")
 
         return (
             self.follow(BRONZE_BATCHES, batches_ddl(entity.keep)).writeStream.foreachBatch(write_batch)
@@ -157,6 +148,66 @@ class Lakehouse:
             .trigger(availableNow=True).start()
         )
 
+    def _settle(self, entity: silver.Entity) -> None:
+        """Bring an entity's table up to date with the claims of this update.
+
+        Reads what was claimed since the last time, and of older claims the key
+        and the arrival, once.  Every folder is this update's own and replaced
+        when the update is repeated; the place is set last.
+        """
+        table, spark = entity.table, self.spark
+        rules, key = self.rules[table], entity.key
+        place = self.places.get(table) or Place("")
+        numbers = [int(f.split("=")[1]) for f in self.places.folders(self.claims(table)) if f.startswith("claimed_in=")]
+        fresh_numbers = [n for n in numbers if n > place.covered]
+        if not fresh_numbers:
+            return
+        columns = f"{silver.ARRIVAL_DDL}, {SCHEMAS[table].replace(', silver_processed_at TIMESTAMP', '')}"
+
+        def read(*folders: str) -> DataFrame:
+            return spark.read.format(self.table_format).option("recursiveFileLookup", "true").schema(columns).load(list(folders))
+
+        settled, staged = f"{self.root}/settled/{table}", f"{self.root}/staged/{table}/update={place.update}"
+        new = silver.earliest(read(*(f"{self.claims(table)}/claimed_in={n}" for n in fresh_numbers)), key)
+        arrived = F.struct(*silver.ARRIVAL)
+        if place.settled:
+            # This update may have been tried before: what it left is not looked at.
+            before = [f"{settled}/{place.settled}/{f}" for f in self.places.folders(f"{settled}/{place.settled}")
+                      if f != f"update={place.update}"]
+            old = read(*before).select(F.col(key).alias("taken"), arrived.alias("taken_at"), F.lit(True).alias("known"))
+            new = (new.join(old, F.col(key).eqNullSafe(F.col("taken")), "left")
+                   .filter(F.col("known").isNull() | (arrived < F.col("taken_at")))
+                   .withColumn("replaces", F.col("known").isNotNull()).drop("taken", "taken_at", "known"))
+        else:
+            new = new.withColumn("replaces", F.lit(False))
+        new.write.mode("overwrite").format(self.table_format).save(staged)
+        won = spark.read.format(self.table_format).schema(f"{columns}, replaces BOOLEAN").load(staged)
+        corrections = won.filter("replaces").limit(1).count() > 0 or not place.settled
+
+        counted = Observation()
+        rows = warn(won.drop("replaces"), rules, counted)
+        if corrections:
+            version = f"v={place.update}"
+            if place.settled:
+                again = won.filter("replaces").select(F.col(key).alias("taken"))
+                rows = read(*before).join(again, F.col(key).eqNullSafe(F.col("taken")), "left_anti").unionByName(rows)
+            targets = dict.fromkeys(("settled", "table"), version)
+        else:
+            targets = {"settled": place.settled, "table": place.folder}
+        folder = f"update={place.update}"
+        rows.write.mode("overwrite").format(self.table_format).save(f"{settled}/{targets['settled']}/{folder}")
+        stored = read(f"{settled}/{targets['settled']}/{folder}").drop(*silver.ARRIVAL)
+        self._sized(silver.stamped(keep_valid(stored, rules)), f"{self.path(table)}/{targets['table']}/{folder}")
+        if self.keep_rejected:
+            self._sized(silver.stamped(quarantine(stored, rules)), f"{self.path(rejected(table))}/{targets['table']}/{folder}")
+            self.places.put(rejected(table), Place(targets["table"], update=place.update + 1))
+        self.places.put(table, Place(targets["table"], targets["settled"], max(numbers), place.update + 1))
+        self._add_counts(table, counted.get)
+
+    def _sized(self, df: DataFrame, folder: str) -> None:
+        """Write with file sizes from AQE: large partitions are split, small ones merged."""
+        df.hint("rebalance").write.mode("overwrite").format(self.table_format).save(folder)
+
     def _add_counts(self, table: str, counts: Mapping[str, int]) -> None:
         total = self.progress[table]["rules"]
         for name, value in counts.items():
@@ -209,6 +260,10 @@ class Lakehouse:
         if self.keep_rejected:
             wanted += [rejected(t) for t in tables if rejected(t) in streams]
         self._finish({table: streams[table]() for table in wanted})
+        if self.dedup == "arrival":
+            for entity in silver.DEDUPLICATED:
+                if entity.table in tables:
+                    self._settle(entity)
 
     def bronze_raw(self) -> DataFrame:
         return capture_rows(
@@ -259,13 +314,39 @@ class Lakehouse:
         raise KeyError(table)
 
     def update_gold(self) -> None:
-        """Full refresh: a late order corrects the day it belongs to."""
+        """Full refresh into a new version: a late order corrects the day it belongs to, and readers change over at once."""
         for table in GOLD_TABLES:
-            result = gold.stamped(self.gold(table))
-            keys = maintenance.CLUSTER_KEYS.get(table)
-            if keys:
-                result = maintenance.clustered(result, keys)
-            result.write.mode("overwrite").format(self.table_format).save(self.path(table))
+            self._new_version(table, gold.stamped(self.gold(table)))
+
+    def _new_version(self, table: str, rows: DataFrame) -> None:
+        """Write ``rows`` as the table's next version, clustered by its keys, then make it the current one."""
+        place = self.places.get(table) or Place("")
+        version = f"v={place.update}"
+        keys = maintenance.CLUSTER_KEYS.get(table)
+        target = f"{self.path(table)}/{version}/update={place.update}"
+        if keys:
+            maintenance.clustered(rows, keys).write.mode("overwrite").format(self.table_format).save(target)
+        else:
+            self._sized(rows, target)
+        self.places.put(table, replace(place, folder=version, update=place.update + 1))
+
+    def compact(self, table: str) -> None:
+        """Rewrite a versioned table as few files.  Later updates go on from the new version.
+
+        Tables of the file sink are left alone: streams follow their files, which
+        must not come a second time.
+        """
+        if self.places.get(table) is None:
+            raise ValueError(f"{table} is written by the file sink and followed by streams; its files stay as they are")
+        self._new_version(table, self.read(table))
+
+    def vacuum(self, table: str, keep: int = 2) -> None:
+        """Delete all but the last ``keep`` versions of a table; the current one always stays."""
+        place = self.places.get(table)
+        versions = sorted((f for f in self.places.folders(self.path(table)) if f.startswith("v=")), key=lambda f: int(f[2:]))
+        for version in versions[:-keep] if keep else versions:
+            if place and version != place.folder:
+                self.places.delete(f"{self.path(table)}/{version}")
 
     def update(self) -> None:
         self.update_bronze()
@@ -273,10 +354,11 @@ class Lakehouse:
         self.update_gold()
 
     def register(self, schema: str = "default") -> None:
-        """Catalog tables over the stored folders, for SQL users and views."""
+        """Catalog tables over the current folders, for SQL users and views; to be repeated after updates and maintenance."""
         for table in (*SCHEMAS, *GOLD_TABLES):
             columns = f"({SCHEMAS[table]}) " if table in SCHEMAS else ""
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {schema}.{table} {columns}USING {self.table_format} "
-                f"OPTIONS (recursiveFileLookup 'true') LOCATION '{self.path(table)}'")
+                f"OPTIONS (recursiveFileLookup 'true') LOCATION '{self.location(table)}'")
+            self.spark.sql(f"ALTER TABLE {schema}.{table} SET LOCATION '{self.location(table)}'")
             self.spark.catalog.refreshTable(f"{schema}.{table}")

@@ -94,6 +94,7 @@ def batches(spark):
 
     def build(*bodies):
         rows = [(i, body) for i, body in enumerate(bodies)]
-        return parse_batches(spark.createDataFrame(rows, "sequence_number BIGINT, body_json STRING"))
+        raw = spark.createDataFrame(rows, "sequence_number BIGINT, body_json STRING")
+        return parse_batches(raw.selectExpr("*", f"TIMESTAMP'{STAMP}' AS enqueued_time_utc"))
 
     return build

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from marmita import __main__ as cli
-from marmita.jobs import run_generate, run_update
+from conftest import client, payload
+from marmita.jobs import run_generate, run_retention, run_update
 from marmita.operators import maintenance
 from marmita.session import shared_folder
 from marmita.sources.generator import Volume
@@ -32,7 +33,7 @@ def test_json_archive(spark, tmp_path):
 def test_stored_dimension_can_be_compacted_and_trimmed(spark, tmp_path):
     run_generate(spark, str(tmp_path / "in"), 5)
     house = run_update(spark, str(tmp_path / "house"), str(tmp_path / "in"))
-    compacted = maintenance.compact(spark, house.path("silver_items"), str(tmp_path / "compact"))
+    compacted = maintenance.compact(spark, house.location("silver_items"), str(tmp_path / "compact"))
     assert compacted.count() == 40
     trimmed = maintenance.rewrite_retained(
         spark, house.path("silver_orders"), str(tmp_path / "trim"), "silver", "order_date", "2024-12-31")
@@ -44,10 +45,25 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     cli.main(["generate", "--target", str(tmp_path / "in"), "--batches", "3", "--orders", "2"])
     cli.main(["update", "--source", str(tmp_path / "in"), "--root", str(tmp_path / "house"), "--max-files", "2"])
     assert "silver_orders" in capsys.readouterr().out
+    cli.main(["compact", "--root", str(tmp_path / "house")])
+    assert "silver_clientes" in capsys.readouterr().out
+    cli.main(["retention", "--root", str(tmp_path / "house"), "--target-root", str(tmp_path / "kept"), "--as-of", "2024-01-02"])
+    kept = next((tmp_path / "kept").glob("bronze_delivery_batches-*"))
+    assert spark.read.parquet(str(kept)).count() == 3
     with pytest.raises(SystemExit):
         cli.main(["update"])
 
 
+def test_retention_drops_what_cannot_be_dated(spark, archive, tmp_path):
+    archive.add("not json", None, payload("b1", clientes=[client()]))
+    house = run_update(spark, str(tmp_path / "house"), archive.folder)
+    stored = {}
+    for as_of in ("2024-05-02", "2099-01-01"):
+        folder = run_retention(house, str(tmp_path / "kept"), as_of)["bronze_delivery_batches"]
+        stored[as_of] = spark.read.parquet(folder).count()
+    assert stored == {"2024-05-02": 3, "2099-01-01": 0}
+
+
 def session_with(master, **conf):
     get = lambda key, default=None: conf.get(key.replace(".", "_"), default)
     context = SimpleNamespace(master=master, getConf=lambda: SimpleNamespace(get=get))
