@@ -104,14 +104,14 @@ def _sets(size: int):
 
 
 def first_common(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """For rows of two signature blocks: number of the first key that they share, -1 for none."""
-    found = np.full((len(left), len(right)), -1, np.int16)
+    """For pairs of signatures: number of the first key that they share, -1 for none."""
+    choices = list(combinations(range(WIDTH), ERRORS))
+    differs = (left != right).reshape(len(left), CHUNKS, WIDTH)
+    found = np.full(len(left), -1, np.int16)
     for c in reversed(range(CHUNKS)):
-        part = slice(c * WIDTH, (c + 1) * WIDTH)
-        differs = left[:, None, part] != right[None, :, part]
-        for k, left_out in reversed(list(enumerate(combinations(range(WIDTH), ERRORS)))):
+        for k, left_out in reversed(list(enumerate(choices))):
             rest = [i for i in range(WIDTH) if i not in left_out]
-            found[~differs[:, :, rest].any(2)] = c * len(list(combinations(range(WIDTH), ERRORS))) + k
+            found[~differs[:, c, rest].any(1)] = c * len(choices) + k
     return found
 
 
@@ -151,8 +151,8 @@ def _compare(need: int, percent: int):
                 for k in range(0, LONG, 32):
                     same += (sig[part, None, k:k + 32] == sig[None, t, k:k + 32]).sum(2, dtype=np.int16)
                 ok &= same >= need
-                if ok.any():
-                    ok &= first_common(sig[part, :CHUNKS * WIDTH], sig[t, :CHUNKS * WIDTH]) == number
+                a, b = np.nonzero(ok)
+                ok[a, b] = first_common(sig[part[a], :CHUNKS * WIDTH], sig[t[b], :CHUNKS * WIDTH]) == number
                 for i in np.flatnonzero(ok.any(1)):
                     asks, others = part[i], t[ok[i]]
                     shared = nearly_shared(short[asks], [short[j] for j in others])
