@@ -12,6 +12,8 @@ defines symbol ``base`` + i), ``expansions`` (uint32, tokens of each rule's symb
 from __future__ import annotations
 
 import re
+import sys
+import types
 import zlib
 
 import numpy as np
@@ -24,47 +26,93 @@ from pyspark.sql import functions as F
 BLOCK_TOKENS = 1 << 20
 #: Rounds of replacement, new symbols per round, and the least count of a pair that is replaced.
 ROUNDS, PER_ROUND, LEAST = 4, 1024, 24
-SLOTS = 1 << 16
-MEMO_UNITS = 300_000
+SLOT_BITS = 18
+#: Units that a worker remembers, about 200 bytes each, and how many are encoded as one text.
+MEMO_UNITS = 1_400_000
+LINES = 1000
 ENCODED_TOGETHER = 1 << 22
 
 BLOCKS = ("shard long, block long, n_tokens long, doc_ids array<long>, base long, width int, offsets binary, lengths binary, rules binary, "
           "expansions binary, symbols binary")
 
-BESIDE_SPACE = re.compile(r"\s | \s")
+MARKS = ".,;:!?#%&*$|\"')"
 LONE_SPACE = re.compile(r"(?<!\s) (?!\s)")
 
 
+def beside_space(unit: str) -> bool:
+    return not unit or unit[0].isspace() or unit[-1].isspace()
+
+
 class Encoder:
     """Ids of whole texts with a byte-level BPE tokenizer, each distinct unit encoded once.
 
     The tokenizer's own pattern starts a new piece at a single space between two visible characters, so a text cut there has the ids of its
-    units in a row.  White space next to a space is not cut.
+    units in a row.  White space next to a space is not cut.  New units are encoded together as lines of one text, since a
+    newline before a visible character or a space is a piece of its own.
     """
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_json)
-        self.first: dict[str, bytes] = {}
+        self.newline = self._ids(["\n"])[0].tolist()
+        self.first: dict[str, bytes] = {"": b""}
+        # After a space: units without white space at their ends, and the others, which a text may end with.
         self.spaced: dict[str, bytes] = {}
+        self.edged: dict[str, bytes] = {}
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, memo: dict[str, bytes], units: set[str], before: str) -> None:
-        if len(memo) > MEMO_UNITS:
-            memo.clear()
         new = list(units.difference(memo))
-        for start in range(0, len(new), 20_000):
-            part = new[start:start + 20_000]
-            encoded = self.tokenizer.encode_batch_fast([before + u for u in part], add_special_tokens=False)
-            memo.update(zip(part, [np.array(e.ids, np.uint32).tobytes() for e in encoded], strict=True))
+        lines = [u for u in new if u and "\n" not in u] if len(self.newline) == 1 else []
+        for start in range(0, len(lines), LINES):
+            part = lines[start:start + LINES]
+            ids = self._ids(["\n".join(before + u for u in part)])[0]
+            ends = np.r_[np.flatnonzero(ids == self.newline[0]), len(ids)]
+            if len(ends) != len(part):  # a unit holds the newline's id in another way
+                memo.update(zip(part, (x.tobytes() for x in self._ids([before + u for u in part])), strict=True))
+                continue
+            raw, at = ids.tobytes(), 0
+            for unit, end in zip(part, (4 * ends).tolist(), strict=True):
+                memo[unit] = raw[at:end]
+                at = end + 4
+        rest = [u for u in new if u not in memo]
+        memo.update(zip(rest, (x.tobytes() for x in self._ids([before + u for u in rest])), strict=True))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids (uint32) of each text."""
-        units = [LONE_SPACE.split(t) if BESIDE_SPACE.search(t) else t.split(" ") for t in texts]
-        self._learn(self.first, {u[0] for u in units}, "")
-        self._learn(self.spaced, {x for u in units for x in u[1:]}, " ")
-        first, spaced = self.first, self.spaced
-        return [np.frombuffer(first[u[0]] + b"".join(map(spaced.__getitem__, u[1:])), np.uint32) for u in units]
+        if len(self.spaced) + len(self.first) + len(self.edged) > MEMO_UNITS:
+            self.first, self.spaced, self.edged = {"": b""}, {}, {}
+        units = [t.split(" ") for t in texts]
+        bad = {u for u in set().union(*units).difference(self.spaced) if beside_space(u)}
+        if bad:  # cut beside other white space, which is no cut
+            units = [u if bad.isdisjoint(u) else LONE_SPACE.split(t) for u, t in zip(units, texts, strict=True)]
+        heads = [u.pop(0) for u in units]
+        tails = set().union(*units)
+        edged = {u for u in tails.difference(self.spaced) if beside_space(u)}
+        # The pattern also ends a piece between a word and the marks that close it, so a word is encoded once for all its endings.
+        new = tails.difference(self.spaced) - edged
+        words = {u: word for u in new if (word := u.rstrip(MARKS)) != u and word and word[-1].isalnum()}
+        self._learn(self.first, {u[len(word):] for u, word in words.items()}.union(heads), "")
+        self._learn(self.edged, edged, " ")
+        self._learn(self.spaced, (new - words.keys()).union(words.values()), " ")
+        self.spaced.update([(u, self.spaced[word] + self.first[u[len(word):]]) for u, word in words.items()])
+        out = []
+        for head, tail in zip(heads, units, strict=True):
+            known = map(self.spaced.__getitem__, tail) if edged.isdisjoint(tail) else (
+                self.edged[u] if u in edged else self.spaced[u] for u in tail)
+            out.append(np.frombuffer(self.first[head] + b"".join(known), np.uint32))
+        return out
+
+
+def worker_encoder(tokenizer_json: str) -> Encoder:
+    """One encoder per Python worker, which serves many tasks: units known from one are not encoded again in the next."""
+    kept = sys.modules.setdefault("marmita_encoders", types.ModuleType("marmita_encoders"))
+    if tokenizer_json not in vars(kept):
+        setattr(kept, tokenizer_json, Encoder(tokenizer_json))
+    return getattr(kept, tokenizer_json)
 
 
 def repair(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,25 +123,31 @@ def repair(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray,
         if n < 2:
             break
         left, right = symbols[:-1], symbols[1:]
-        slot = ((left * np.uint32(2654435761)) ^ (right * np.uint32(2246822519))) >> np.uint32(16)
-        inner = np.ones(n, bool)
-        inner[starts[1:] - 1] = False
-        inner = inner[:-1]
-        counts = np.bincount(slot[inner], minlength=SLOTS)
-        # Slots that can hold a pair among the most frequent; their pairs are then counted exactly.
-        busy = np.sort(counts)[-2 * PER_ROUND] if len(counts) > 2 * PER_ROUND else 0
-        at = np.flatnonzero((counts >= max(LEAST, busy))[slot] & inner)
-        if not len(at):
-            break
-        pairs, which, times = np.unique((left[at].astype(np.uint64) << np.uint64(32)) | right[at],
-                                        return_inverse=True, return_counts=True)
-        order = np.lexsort((pairs, -times))[:PER_ROUND]
-        order = order[times[order] >= LEAST]
+        slot = ((left * np.uint32(2654435761)) ^ (right * np.uint32(2246822519))) >> np.uint32(32 - SLOT_BITS)
+        across = starts[1:] - 1
+        across = across[(across >= 0) & (across < n - 1)]
+        counts = np.bincount(slot, minlength=1 << SLOT_BITS) - np.bincount(slot[across], minlength=1 << SLOT_BITS)
+        # The busiest slots, each with one pair of those that fall into it.
+        busy = np.flatnonzero(counts >= LEAST)
+        busy = busy[np.argsort(-counts[busy], kind="stable")[:PER_ROUND]]
+        name = np.full(1 << SLOT_BITS, -1, np.int32)
+        name[busy] = np.arange(len(busy))
+        inner = np.ones(n - 1, bool)
+        inner[across] = False
+        at = np.flatnonzero((name[slot] >= 0) & inner)
+        pairs = (left[at].astype(np.uint64) << np.uint64(32)) | right[at]
+        which = name[slot[at]]
+        chosen = np.zeros(len(busy), np.uint64)
+        np.maximum.at(chosen, which, pairs)
+        same = pairs == chosen[which]
+        at, which = at[same], which[same]
+        times = np.bincount(which, minlength=len(busy))
+        order = np.flatnonzero(times >= LEAST)
         if not len(order):
             break
-        name = np.full(len(pairs), -1, np.int64)
-        name[order] = base + len(rules) + np.arange(len(order))
-        new = name[which]
+        number = np.full(len(busy), -1, np.int64)
+        number[order] = base + len(rules) + np.arange(len(order))
+        new = number[which]
         at, new = at[new >= 0], new[new >= 0]
         # Of overlapping occurrences take the first, third, ... of each run.
         first = np.r_[True, np.diff(at) > 1]
@@ -108,7 +162,7 @@ def repair(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray,
         ends = starts >= n
         starts = np.where(ends, int(keep.sum()), moved[np.minimum(starts, n - 1)])
         symbols = symbols[keep]
-        rules += [(int(p >> np.uint64(32)), int(p & np.uint64(0xFFFFFFFF))) for p in pairs[order]]
+        rules += [(int(p) >> 32, int(p) & 0xFFFFFFFF) for p in chosen[order]]
     return symbols, starts, np.array(rules, np.uint32).reshape(-1, 2)
 
 
@@ -139,7 +193,7 @@ def _encode(tokenizer_json: str, end_id: int):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = Encoder(tokenizer_json)
+        encoder = worker_encoder(tokenizer_json)
         base = max(encoder.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
         shard, number = TaskContext.get().partitionId(), 0
         doc_ids, parts, size = [], [], 0

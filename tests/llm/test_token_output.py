@@ -13,7 +13,7 @@ from marmita.llm import token_output as t
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 DDL = "doc_id LONG, text STRING, shard LONG, n_tokens STRING"
 BITS = ["a", "b ", " c", "  ", "\n", " \n", "\t", "the", " cat's", "'s", "12", "é", "漢", "🙂", "!!", "\x1c", "\x85", "\xa0", " ", "<|", "un",
-        "\r\n", "'ll ", "   ", ".", " "]
+        "\r\n", "'ll ", "   ", ".", " ", "dogs' ", "9%. ", "x### ", "_* ", "²) "]
 
 
 def texts(n, seed=0):
@@ -25,7 +25,11 @@ def test_units_have_the_ids_of_the_whole():
     plain = Tokenizer.from_file(PATH)
     encoder = t.Encoder(PATH)
     some = texts(5000) + ["", " ", "  ", "\n", " a", "a ", "the the the", "x 's it's"]
-    assert [x.tolist() for x in encoder.encode(some)] == [e.ids for e in plain.encode_batch(some, add_special_tokens=False)]
+    want = [e.ids for e in plain.encode_batch(some, add_special_tokens=False)]
+    assert [x.tolist() for x in encoder.encode(some)] == want
+    # What was learned from one text holds in the next.
+    few = t.Encoder(PATH)
+    assert [few.encode([x])[0].tolist() for x in some] == want
 
 
 @pytest.mark.parametrize("seed", range(6))
