@@ -161,6 +161,13 @@ def entity_rows(batches: DataFrame, entity: Entity) -> DataFrame:
     )
 
 
+def _bus_arrival(batches: DataFrame) -> list[Column]:
+    """Time at the bus and sequence number; parsed documents that never met a bus may lack the time."""
+    known = "enqueued_time_utc" in batches.columns
+    time = F.col("enqueued_time_utc") if known else F.lit(None).cast("timestamp").alias("enqueued_time_utc")
+    return [time, F.col("sequence_number")]
+
+
 def earliest(rows: DataFrame, key: str) -> DataFrame:
     """The earliest of all rows with a key, with its arrival.
 
@@ -182,7 +189,7 @@ def claims(batches: DataFrame, entity: Entity, validate_first: bool = False,
            rules: Rules | None = None) -> DataFrame:
     """The first arrival of each key of an entity, with its arrival: before the rules, or after them with ``validate_first``."""
     rows = batches.select(
-        *ARRIVAL[:2], "batch_id",
+        *_bus_arrival(batches), "batch_id",
         F.posexplode_outer(f"tables.{entity.array}").alias("position", "record"),
     ).select(*ARRIVAL, "batch_id", *_typed("record", entity))
     if validate_first:
@@ -250,7 +257,7 @@ def order_rows(batches: DataFrame, products: bool = True, arrival: bool = False)
     wanted = Entity(ORDERS.table, ORDERS.array, columns)
     if arrival:
         unnested = batches.select(
-            *ARRIVAL[:2], "batch_id", F.posexplode_outer("tables.orders").alias("position", "record"))
+            *_bus_arrival(batches), "batch_id", F.posexplode_outer("tables.orders").alias("position", "record"))
     else:
         unnested = batches.select("batch_id", F.explode_outer("tables.orders").alias("record"))
     leading = ARRIVAL if arrival else ()
