@@ -1,7 +1,7 @@
 """Token ids as grammar-compressed binary blocks.
 
 Documents in ascending order of their ids are encoded, cut into blocks of whole documents and compressed by Re-Pair: in rounds,
-the pairs of neighbouring symbols that are frequent in the block are replaced by new symbols.  No pair reaches over the end of a document, so
+the pairs of neighbouring symbols that are frequent in the block are replaced by new symbols, until none is frequent.  No pair reaches over the end of a document, so
 each document can be decoded alone, and the stored expansion lengths let a reader skip to any of its tokens.
 
 Format: a folder of Parquet files, one row a block.  ``shard`` and ``block`` order the rows, ``n_tokens`` counts all tokens of one.  Binary columns are little-endian:
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 #: A block is closed once it has so many tokens; also what a task keeps in memory.
 BLOCK_TOKENS = 1 << 20
-#: Rounds of replacement, new symbols per round, and the least count of a pair that is replaced.
-ROUNDS, PER_ROUND, LEAST = 4, 1024, 24
+#: The least count of a pair that is replaced.
+LEAST = 24
 SLOT_BITS = 18
 #: Units that a worker remembers, about 200 bytes each, and how many are encoded as one text.
 MEMO_UNITS = 1_400_000
@@ -115,45 +115,55 @@ def worker_encoder(tokenizer_json: str) -> Encoder:
     return getattr(kept, tokenizer_json)
 
 
+def frequent_pairs(symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pairs, at, which) of neighbouring symbols within a document: the pairs that occur at least ``LEAST`` times without overlap,
+    most frequent first, where they occur and which pair stands there.
+
+    Slots only sort out positions whose pair cannot be frequent; the pairs of all other positions are counted exactly.
+    """
+    n = len(symbols)
+    left, right = symbols[:-1], symbols[1:]
+    slot = ((left * np.uint32(2654435761)) ^ (right * np.uint32(2246822519))) >> np.uint32(32 - SLOT_BITS)
+    across = starts[1:] - 1
+    across = across[(across >= 0) & (across < n - 1)]
+    inner = np.ones(n - 1, bool)
+    inner[across] = False
+    at = np.flatnonzero((np.bincount(slot[inner], minlength=1 << SLOT_BITS) >= LEAST)[slot] & inner)
+    pairs = (left[at].astype(np.uint64) << np.uint64(32)) | right[at]
+    # Only a pair of equal symbols overlaps itself: of a run take the first, third, ... occurrence.
+    place = np.arange(len(at))
+    run = np.maximum.accumulate(np.where(np.r_[True, (np.diff(at) > 1) | (pairs[1:] != pairs[:-1])][:len(at)], place, 0))
+    apart = (place - run) % 2 == 0
+    pairs, which, times = np.unique(pairs[apart], return_inverse=True, return_counts=True)
+    order = np.lexsort((pairs, -times))
+    order = order[times[order] >= LEAST]
+    rank = np.full(len(pairs), -1, np.int64)
+    rank[order] = np.arange(len(order))
+    which = rank[which]
+    return pairs[order], at[apart][which >= 0], which[which >= 0]
+
+
 def repair(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, first symbol of each document, rules) of the concatenated ``ids`` of documents that begin at ``starts``."""
-    symbols, starts, rules = ids.astype(np.uint32), starts.astype(np.int64), []
-    for _ in range(ROUNDS):
+    """(symbols, first symbol of each document, rules) of the concatenated ``ids`` of documents that begin at ``starts``.
+
+    A round replaces every frequent pair where no more frequent one overlaps it; rounds go on until no pair is frequent.  All
+    occurrences of the most frequent pair are replaced, so each round shortens the symbols.
+    """
+    symbols, starts, rules = ids.astype(np.uint32), starts.astype(np.int64), {}
+    while len(symbols) > 1:
         n = len(symbols)
-        if n < 2:
-            break
-        left, right = symbols[:-1], symbols[1:]
-        slot = ((left * np.uint32(2654435761)) ^ (right * np.uint32(2246822519))) >> np.uint32(32 - SLOT_BITS)
-        across = starts[1:] - 1
-        across = across[(across >= 0) & (across < n - 1)]
-        counts = np.bincount(slot, minlength=1 << SLOT_BITS) - np.bincount(slot[across], minlength=1 << SLOT_BITS)
-        # The busiest slots, each with one pair of those that fall into it.
-        busy = np.flatnonzero(counts >= LEAST)
-        busy = busy[np.argsort(-counts[busy], kind="stable")[:PER_ROUND]]
-        name = np.full(1 << SLOT_BITS, -1, np.int32)
-        name[busy] = np.arange(len(busy))
-        inner = np.ones(n - 1, bool)
-        inner[across] = False
-        at = np.flatnonzero((name[slot] >= 0) & inner)
-        pairs = (left[at].astype(np.uint64) << np.uint64(32)) | right[at]
-        which = name[slot[at]]
-        chosen = np.zeros(len(busy), np.uint64)
-        np.maximum.at(chosen, which, pairs)
-        same = pairs == chosen[which]
-        at, which = at[same], which[same]
-        times = np.bincount(which, minlength=len(busy))
-        order = np.flatnonzero(times >= LEAST)
-        if not len(order):
+        pairs, at, which = frequent_pairs(symbols, starts)
+        if not len(at):
             break
-        number = np.full(len(busy), -1, np.int64)
-        number[order] = base + len(rules) + np.arange(len(order))
-        new = number[which]
-        at, new = at[new >= 0], new[new >= 0]
-        # Of overlapping occurrences take the first, third, ... of each run.
-        first = np.r_[True, np.diff(at) > 1]
-        run = np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))
-        take = (np.arange(len(at)) - run) % 2 == 0
-        at, new = at[take], new[take]
+        near = np.diff(at) == 1
+        first = np.r_[True, ~near | (which[1:] < which[:-1])] & np.r_[~near | (which[:-1] < which[1:]), True]
+        at, which = at[first], which[first]
+        # The others of a pair that loses too many places wait for a later round.
+        used = np.bincount(which, minlength=len(pairs)) >= LEAST
+        number = np.zeros(len(pairs), np.uint32)
+        for i in np.flatnonzero(used).tolist():
+            number[i] = rules.setdefault(int(pairs[i]), base + len(rules))
+        at, new = at[used[which]], number[which[used[which]]]
         symbols = symbols.copy()
         symbols[at] = new
         keep = np.ones(n, bool)
@@ -162,8 +172,7 @@ def repair(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray,
         ends = starts >= n
         starts = np.where(ends, int(keep.sum()), moved[np.minimum(starts, n - 1)])
         symbols = symbols[keep]
-        rules += [(int(p) >> 32, int(p) & 0xFFFFFFFF) for p in chosen[order]]
-    return symbols, starts, np.array(rules, np.uint32).reshape(-1, 2)
+    return symbols, starts, np.array([(p >> 32, p & 0xFFFFFFFF) for p in rules], np.uint32).reshape(-1, 2)
 
 
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:

@@ -75,3 +75,26 @@ def test_files(spark, tmp_path, monkeypatch, block):
 def test_empty(spark, tmp_path):
     t.write_tokens(spark.createDataFrame([], DDL), str(tmp_path / "x"), PATH)
     assert t.documents_of(t.read_blocks(spark, str(tmp_path / "x"))).collect() == []
+
+
+def test_no_frequent_pair_is_left():
+    rng = np.random.default_rng(9)
+    ids = (rng.zipf(1.2, 200_000) % 3000).astype(np.uint32)
+    starts = np.arange(0, len(ids) + 1, 100)
+    symbols, offsets, rules = t.repair(ids, starts, 3000)
+    assert (t.decoded(symbols, rules, 3000) == ids).all() and len(set(map(tuple, rules.tolist()))) == len(rules)
+    for part in (symbols, ids):
+        at = offsets if part is symbols else starts
+        pairs = {}
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            last = None
+            for i in range(a, b - 1):
+                pair = int(part[i]), int(part[i + 1])
+                if last != (i - 1, pair):  # a pair of equal symbols overlaps itself
+                    pairs[pair] = pairs.get(pair, 0) + 1
+                    last = i, pair
+        if part is symbols:
+            assert max(pairs.values()) < t.LEAST
+        else:  # the most frequent pairs of the tokens get the first rules
+            best = max(pairs, key=lambda p: (pairs[p], (-p[0], -p[1])))
+            assert tuple(rules[0].tolist()) == best
