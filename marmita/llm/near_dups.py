@@ -75,8 +75,8 @@ def _sketches(size: int):
                              signature(s, CHUNKS * WIDTH).tobytes() if len(s) else b""))
             n, h1, h2, sig = zip(*rows, strict=True) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
-                pa.array(sig, pa.binary())], ["doc_id", "n", "h1", "h2", "sig"])
+                batch.column("doc_id"), batch.column("text_hash"), pa.array(n, pa.int64()), pa.array(h1, pa.int64()),
+                pa.array(h2, pa.int64()), pa.array(sig, pa.binary())], ["doc_id", "text_hash", "n", "h1", "h2", "sig"])
     return run
 
 
@@ -96,7 +96,7 @@ def _sets(size: int):
         for batch in batches:
             sets = list(shingle_sets(batch.column("text").to_pylist(), size, memo))
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                batch.column("node"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
                 pa.array([signature(s, LONG).tobytes() for s in sets], pa.binary()),
                 pa.array([np.unique((s >> np.uint64(32)).astype(np.uint32)).tobytes() for s in sets], pa.binary())],
                 ["node", "members", "sig", "short"])
@@ -189,9 +189,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     No rows give no rows; other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketches = store(docs.mapInArrow(_sketches(shingle), "doc_id long, n long, h1 long, h2 long, sig binary"), "sketches")
+    docs = docs.withColumn("text_hash", F.xxhash64("text"))
+    sketches = store(docs.mapInArrow(
+        _sketches(shingle), "doc_id long, text_hash long, n long, h1 long, h2 long, sig binary"), "sketches")
     real = sketches.where("n > 0 AND doc_id IS NOT NULL")
-    groups = store(real.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig")), "groups")
+    # A node is a set, not a doc_id, which can have several: numbered here and read by its smallest doc_id with one of its texts.
+    groups = store(real.groupBy("n", "h1", "h2").agg(F.min(F.struct("doc_id", "text_hash")).alias("of"), F.first("sig").alias("sig"))
+                   .select(F.monotonically_increasing_id().alias("node"), "n", "h1", "h2", "of.doc_id", "of.text_hash", "sig"), "groups")
 
     # Two different sets can only be similar enough from this size on.
     least = next(n for n in range(1, 1000) if 100 * n >= percent * (n + 1))
@@ -200,7 +204,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     members = store(keys.join(shared, "key"), "members")
 
     wanted = members.select("node").distinct()
-    texts = docs.join(wanted, docs["doc_id"] == wanted["node"], "left_semi").select("doc_id", "text")
+    read = groups.join(wanted, "node", "left_semi").select("node", "doc_id", "text_hash")
+    texts = docs.join(read, ["doc_id", "text_hash"]).select("node", "text")
     sets = store(texts.mapInArrow(_sets(shingle), "node long, members array<long>, sig binary, short binary"), "sets")
 
     star = members.where("node != p").select(F.col("p").alias("a"), F.col("node").alias("b")).distinct()
@@ -209,11 +214,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
     more = store(_confirmed(_undecided(members, roots, sets, percent), sets, percent), "more")
     named = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    final = store(components(named.unionByName(more)), "final")
-
-    member_of = groups.select("n", "h1", "h2", "node").join(final, "node", "left").select(
-        "n", "h1", "h2", F.coalesce("root", "node").alias("component"))
-    by_id = sketches.join(member_of, ["n", "h1", "h2"], "left")
+    by_id = store(sketches.drop("sig", "text_hash").join(groups.select("n", "h1", "h2", "node"), ["n", "h1", "h2"], "left"), "by-id")
+    same_id = by_id.where("node IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "node").distinct()
+    several = same_id.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("doc_id", "a")
+    linked = same_id.join(several, "doc_id").select("a", F.col("node").alias("b")).where("a != b")
+    final = store(components(named.unionByName(more).unionByName(linked)), "final")
+
+    rooted = groups.select("node", "doc_id").join(final, "node", "left").select(
+        "node", "doc_id", F.coalesce("root", "node").alias("root"))
+    least_id = rooted.groupBy("root").agg(F.min("doc_id").alias("component"))
+    by_id = by_id.join(rooted.select("node", "root").join(least_id, "root").select("node", "component"), "node", "left")
     component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
     return by_id.select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),

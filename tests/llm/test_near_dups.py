@@ -77,3 +77,32 @@ def test_very_long_text(spark):
     other = words[:54_000] + [f"z{i}" for i in range(6_000)]
     rows = [(1, " ".join(words), 0, ""), (2, " ".join(other), 0, ""), (3, " ".join(words[:20_000]), 0, "")]
     assert answer(spark, rows, 2) == brute(rows, 2)
+
+
+def test_one_id_with_two_texts_in_a_hot_key(spark):
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(60)]
+    # Copies of one text with few or many changes: they share keys, and their stars leave several components.
+    texts = family(rng, base, 40, 12) + [" ".join(base[:30] + [f"v{k}_{i}" for i in range(30)]) for k in range(10)]
+    other = " ".join(f"z{i}" for i in range(80))
+    rows = [(i + 1, x, 1, "k") for i, x in enumerate(texts)]
+    twice = [(i, f"{other} {i} end", 1, "k") for i in range(1, 31)]
+    got = near_duplicates(spark.createDataFrame(rows + twice, DDL), 2).collect()
+    # The same texts under ids of their own, which come after all others, then equal ids linked.
+    own = [(1000 + i, x, 1, "k") for i, x, *_ in twice]
+    want = brute(rows + own, 2)
+    root = {i: c for i, (_, c, _) in want.items()}
+    links = {}
+
+    def find(c):
+        while c in links:
+            c = links[c]
+        return c
+
+    for i in range(1, 31):
+        a, b = sorted((find(root[i]), find(root[1000 + i])))
+        if a != b:
+            links[b] = a
+    expected = sorted((i % 1000, want[i][0], find(root[i])) for i in want)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == expected
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
