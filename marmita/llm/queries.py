@@ -18,6 +18,7 @@ from marmita.llm.quality_rules import quality
 from marmita.llm.suffix_dedup import remove_repeats
 from marmita.llm.token_output import documents_of, read_blocks, write_tokens
 from marmita.llm.toxicity import toxicity
+from marmita.llm.vector_codes import codebooks_sha256, vector_codes, with_label_errors
 from marmita.session import shared_folder, use_utc
 from marmita.sources.tables import read_table
 
@@ -132,3 +133,36 @@ def _(table):
     kept = remove_boilerplate(table("documents"))
     return kept.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars"),
                        F.md5(F.col("text").cast("binary")).alias("kept_md5"))
+
+
+def _codebook_sql(rounds: int) -> str:
+    """Common table expressions c0 (part, pos, entry, x) to c<rounds>, over the parts p (vec_id, part, pos, x) of all kept vectors."""
+    steps = ["""c0 AS (SELECT part, pos, dense_rank() OVER (ORDER BY vec_id) - 1 AS entry, x FROM p
+             WHERE vec_id IN (SELECT vec_id FROM v ORDER BY vec_id LIMIT 64))"""]
+    for i in range(rounds + 1):
+        steps.append(f"""d{i} AS (SELECT vec_id, part, entry, sum((p.x - c.x) * (p.x - c.x)) AS d FROM p JOIN c{i} c USING (part, pos)
+             GROUP BY vec_id, part, entry),
+     a{i} AS (SELECT vec_id, part, arg_min(entry, d * 64 + entry) AS entry, min(d) AS d FROM d{i} GROUP BY vec_id, part)""")
+        if i < rounds:
+            steps.append(f"""m{i} AS (SELECT part, pos, entry, floor(sum(x) / count(*)) AS x FROM p JOIN a{i} USING (vec_id, part)
+             GROUP BY part, pos, entry),
+     c{i + 1} AS (SELECT part, pos, entry, coalesce(m{i}.x, c{i}.x) AS x FROM c{i} LEFT JOIN m{i} USING (part, pos, entry))""")
+    return ",\n     ".join(steps)
+
+
+@register("op13_vector_codes", f"""
+WITH v AS (SELECT vec_id, label, embedding FROM embeddings WHERE embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+     p AS (SELECT vec_id, (i - 1) // (n // 16) AS part, (i - 1) % (n // 16) AS pos, floor(256 * CAST(e AS DOUBLE)) AS x
+           FROM (SELECT vec_id, len(embedding) AS n, unnest(embedding) AS e, generate_subscripts(embedding, 1) AS i FROM v)),
+     {_codebook_sql(2)},
+     r AS (SELECT vec_id, string_agg(format('{{:02x}}', CAST(entry AS INTEGER)), '' ORDER BY part) AS code,
+                  CAST(sum(d) AS BIGINT) AS error FROM a2 GROUP BY vec_id)
+SELECT r.vec_id, r.code, r.error, CAST(sum(r.error) OVER (PARTITION BY v.label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM c2) AS codebooks_sha256
+FROM r JOIN v USING (vec_id)
+""")
+def _(table):
+    codes = vector_codes(table("embeddings"))
+    rows = with_label_errors(codes.rows)
+    return rows.select("vec_id", "code", "error", "label_error", F.lit(codebooks_sha256(codes.codebooks)).alias("codebooks_sha256"))
