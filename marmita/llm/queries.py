@@ -13,6 +13,7 @@ from marmita.llm.decontaminate import contained_items
 from marmita.llm.line_dedup import remove_boilerplate
 from marmita.llm.mixing import mix
 from marmita.llm.near_dups import near_duplicates
+from marmita.llm.prefix_trie import numbered, prefix_trie, with_shared_openings
 from marmita.llm.quality_classifier import quality_scores
 from marmita.llm.quality_rules import quality
 from marmita.llm.suffix_dedup import remove_repeats
@@ -135,6 +136,41 @@ def _(table):
                        F.md5(F.col("text").cast("binary")).alias("kept_md5"))
 
 
+#: Unsigned CRC-32 of the decimal conv_id, bit by bit.
+SQL_CRC = """list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+                lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                                              lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END),
+                CAST(4294967295 AS BIGINT))"""
+
+
+@register("op11_prefix_trie", f"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+           FROM conversations WHERE conv_id IS NOT NULL),
+     c AS (SELECT conv_id, xor({SQL_CRC}, 4294967295) % 6 AS h,
+                  list({{'key': sha256(concat(length(role), ':', role, text)), 'n': length(text)}} ORDER BY pos) AS turns
+           FROM t GROUP BY conv_id),
+     r AS (SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
+           FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 100),
+     s AS (SELECT conv_id, unnest(generate_series(0, len(turns))) AS depth, turns FROM r),
+     k AS (SELECT conv_id, depth, depth = len(turns) AS last, sha256(array_to_string(list_transform(turns[1:depth], lambda x: x.key), ',')) AS key,
+                  sha256(array_to_string(list_transform(turns[1:depth - 1], lambda x: x.key), ',')) AS above,
+                  CASE WHEN depth > 0 THEN turns[depth].n ELSE 0 END AS n FROM s),
+     n AS (SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, min(above) AS above, min(n) AS n,
+                  sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+           FROM k GROUP BY key, depth),
+     m AS (SELECT n.*, p.conv_id AS parent_conv_id,
+                  (SELECT count(*) FROM n x WHERE x.depth = n.depth + 1 AND x.above = n.key) AS n_children
+           FROM n LEFT JOIN n p ON n.depth > 0 AND p.key = n.above AND p.depth = n.depth - 1),
+     u AS (SELECT k.key, k.depth, count(*) FILTER (m.n_children = 0) AS n_leaves,
+                  CAST(sum((m.n_convs - 1) * m.n) AS BIGINT) AS saved_tokens
+           FROM m JOIN k ON k.conv_id = m.conv_id AND k.depth <= m.depth GROUP BY k.key, k.depth)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256 FROM m JOIN u USING (key, depth)
+""")
+def _(table):
+    return prefix_trie(*with_shared_openings(*numbered(table("conversations"))))
+
+
 def _codebook_sql(rounds: int) -> str:
     """Common table expressions c0 (part, pos, entry, x) to c<rounds>, over the parts p (vec_id, part, pos, x) of all kept vectors."""
     steps = ["""c0 AS (SELECT part, pos, dense_rank() OVER (ORDER BY vec_id) - 1 AS entry, x FROM p
