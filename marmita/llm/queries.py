@@ -13,6 +13,7 @@ from marmita.llm.decontaminate import contained_items
 from marmita.llm.line_dedup import remove_boilerplate
 from marmita.llm.mixing import mix
 from marmita.llm.near_dups import near_duplicates
+from marmita.llm.packing import pack, token_pieces
 from marmita.llm.prefix_trie import numbered, prefix_trie, with_shared_openings
 from marmita.llm.quality_classifier import quality_scores
 from marmita.llm.quality_rules import quality
@@ -171,6 +172,13 @@ def _(table):
     return prefix_trie(*with_shared_openings(*numbered(table("conversations"))))
 
 
+@register("op12_packing")
+def _(table):
+    pieces = token_pieces(table("documents"), tokenizer_json())
+    packed = pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+    return packed.withColumn("length", F.col("length").cast("long"))
+
+
 def _codebook_sql(rounds: int) -> str:
     """Common table expressions c0 (part, pos, entry, x) to c<rounds>, over the parts p (vec_id, part, pos, x) of all kept vectors."""
     steps = ["""c0 AS (SELECT part, pos, dense_rank() OVER (ORDER BY vec_id) - 1 AS entry, x FROM p
