@@ -48,14 +48,12 @@ def arguments() -> argparse.ArgumentParser:
     maintenance.add_argument("--target-root", required=True)
     maintenance.add_argument("--target-bytes", type=int, default=TARGET_FILE_BYTES)
 
-    compact = jobs_of.add_parser("compact", help="rewrite the versioned tables of a lakehouse between updates")
+    compact = jobs_of.add_parser("compact", help="rewrite the days of a lakehouse that consist of several files")
     compact.add_argument("--root", required=True)
     compact.add_argument("--schema", help="schema whose catalog tables follow")
-    compact.add_argument("--keep-versions", type=int, default=2)
 
-    retention = jobs_of.add_parser("retention", help="store the rows that are still to be kept in new folders")
+    retention = jobs_of.add_parser("retention", help="remove the days of a lakehouse that are too old")
     retention.add_argument("--root", required=True)
-    retention.add_argument("--target-root", required=True)
     retention.add_argument("--as-of", required=True, help="day, such as 2024-12-31")
     return parser
 
@@ -79,9 +77,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "governance":
         print(jobs.run_governance(spark, args.schema, args.governance_schema))
     elif args.job == "compact":
-        print(jobs.run_live_maintenance(Lakehouse(spark, args.root, ""), args.schema, args.keep_versions))
+        print(jobs.run_live_maintenance(Lakehouse(spark, args.root, ""), args.schema))
     elif args.job == "retention":
-        print(jobs.run_retention(Lakehouse(spark, args.root, ""), args.target_root, args.as_of))
+        print(jobs.run_retention(Lakehouse(spark, args.root, ""), args.as_of))
     else:
         tables = dict(pair.split("=", 1) for pair in args.tables)
         print(jobs.run_maintenance(spark, tables, args.target_root, args.target_bytes))

@@ -66,7 +66,8 @@ def file_stats(df: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def _settings(spark: SparkSession, **values: str) -> Iterator[None]:
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """These session settings within the block."""
     before = {key: spark.conf.get(key, None) for key in values}
     try:
         for key, value in values.items():
@@ -90,7 +91,7 @@ def compact(spark: SparkSession, source: str, target: str, fmt: str = "parquet",
     untouched, so readers switch over (see :func:`swap_location`) only once all
     is written.
     """
-    with _settings(spark, **{
+    with settings(spark, **{
         "spark.sql.files.maxPartitionBytes": str(target_bytes),
         "spark.sql.files.openCostInBytes": "0",
         "spark.sql.files.minPartitionNum": "1",

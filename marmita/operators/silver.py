@@ -185,16 +185,19 @@ def _first(rows: DataFrame, key: str) -> DataFrame:
     return earliest(rows, key).drop(*ARRIVAL)
 
 
-def claims(batches: DataFrame, entity: Entity, validate_first: bool = False,
-           rules: Rules | None = None) -> DataFrame:
-    """The first arrival of each key of an entity, with its arrival: before the rules, or after them with ``validate_first``."""
+def arrivals(batches: DataFrame, entity: Entity, validate_first: bool = False, rules: Rules | None = None) -> DataFrame:
+    """All rows of an entity with their arrival, or the valid ones with ``validate_first``."""
     rows = batches.select(
         *_bus_arrival(batches), "batch_id",
         F.posexplode_outer(f"tables.{entity.array}").alias("position", "record"),
     ).select(*ARRIVAL, "batch_id", *_typed("record", entity))
-    if validate_first:
-        rows = keep_valid(rows, entity.rules if rules is None else rules)
-    return earliest(rows, entity.key)
+    return keep_valid(rows, entity.rules if rules is None else rules) if validate_first else rows
+
+
+def claims(batches: DataFrame, entity: Entity, validate_first: bool = False,
+           rules: Rules | None = None) -> DataFrame:
+    """The first arrival of each key of an entity, with its arrival: before the rules, or after them with ``validate_first``."""
+    return earliest(arrivals(batches, entity, validate_first, rules), entity.key)
 
 
 def first_arrivals(batches: DataFrame, entity: Entity, validate_first: bool = False,

@@ -475,6 +475,23 @@ _CTES["oi_outer"] = """
     SELECT batch_id, order_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM s_orders WHERE len(products) = 0"""
 
 
+_BODIES["sink_mv_incremental"] = _RESTAURANTS
+_BODIES["stream_fail_set"] = " UNION ALL ".join(
+    f"SELECT '{state}' AS state, count(*) AS rows FROM s_orders WHERE {held}" for state, held in (
+        ("first", "CAST(batch_id AS BIGINT) // 8 % 2 = 0"), ("refused", "CAST(batch_id AS BIGINT) // 8 % 2 = 0"), ("mended", "true")))
+_BODIES["dq_rule_history"] = """
+    SELECT 'bronze_delivery_batches' AS table_name, 'valid_json_payload' AS rule,
+           count(*) FILTER (WHERE NOT missing AND NOT unparsable) AS passed, count(*) FILTER (WHERE missing OR unparsable) AS failed FROM ev
+    UNION ALL """ + " UNION ALL ".join(f"SELECT '{table}' AS table_name, rule, passed, failed FROM ({_metrics(rows, table)})" for table, rows in (
+        *((f"silver_{n}", f"claimed_{n}") for n in _FIRST), ("silver_orders", "ord_outer"), ("silver_order_items", "oi_outer")))
+_BODIES["retention_enforced"] = f"""
+    SELECT 'bronze_delivery_batches' AS table_name, count(*) AS rows FROM (
+      SELECT CAST({_clock("seq")} AS DATE) AS arrived, {_HEADER.format(f'CAST({_clock("seq")} AS DATE)')} AS event_date FROM ev)
+    WHERE coalesce(event_date, current_date) >= DATE '2024-12-31' - 90
+    UNION ALL SELECT 'silver_orders', count(*) FROM s_orders WHERE order_date >= date_trunc('month', DATE '2001-06-30' - 180)
+    UNION ALL SELECT 'gold_daily_delivery_kpis', count(*) FROM ({_KPIS}) WHERE metric_date >= date_trunc('month', DATE '2001-06-30' - 365)
+    UNION ALL SELECT 'gold_restaurant_performance', count(*) FROM ({_RESTAURANTS})
+    WHERE order_date >= date_trunc('month', DATE '2001-06-30' - 365)"""
 _BODIES["stream_split_equals_batch"] = _BODIES["stream_equals_batch"]
 
 

@@ -9,15 +9,17 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marmita.jobs import run_governance, run_live_maintenance
+from marmita.jobs import EXPIRES, run_governance, run_live_maintenance, run_retention
 from marmita.operators import bronze, cost, gold, governance, integrity, maintenance, quality, silver
 from marmita.plans.workspace import Workspace, workspace
 from marmita.rules import RULES
 from marmita.sources import cost_responses, feed, generator
 from marmita.sources.capture import path_attributes
+from marmita.streaming.history import rule_history, rule_totals
 from marmita.streaming.runner import SILVER, Lakehouse, rejected
 from marmita.tables import BRONZE_BATCHES, BRONZE_RAW, SCHEMAS
 
@@ -574,6 +576,59 @@ def _(ws):
     return _same_content(ws, house)
 
 
+@register("stream_fail_set")
+def _(ws):
+    """A rule that the second arrival breaks refuses its micro-batch; mended, the next update stores each row once."""
+    files = ws.folder(f"refused-{uuid.uuid4().hex[:8]}")
+    strict = {"silver_orders": {"first_arrival": "CAST(batch_id AS BIGINT) DIV 8 % 2 = 0"}}
+    states = []
+    for arrival, refuse, state in ((0, strict, "first"), (1, strict, "refused"), (None, {}, "mended")):
+        if arrival is not None:
+            _arrivals(ws).filter(F.col("arrival") == arrival).drop("arrival").write.mode("append").parquet(files)
+        house = Lakehouse(ws.spark, f"{files}-tables", files, refuse=refuse)
+        house.update_bronze()
+        try:
+            house.run("silver_orders")
+        except StreamingQueryException:
+            if state != "refused":
+                raise
+        counted = maintenance.row_counts({"silver_orders": house.read("silver_orders")}).select(F.lit(state).alias("state"), "rows")
+        states.append(ws.spark.read.parquet(_write_new(ws, counted, "refused-counts")))
+    return states[0].unionByName(states[1]).unionByName(states[2])
+
+
+@register("dq_rule_history")
+def _(ws):
+    """Counts of all micro-batches, as the streams reported and stored them."""
+    return rule_totals(rule_history(ws.spark, ws.lakehouse.history.path))
+
+
+def _stepwise(ws: Workspace, name: str) -> Lakehouse:
+    """A lakehouse that was updated after each of the two arrivals."""
+    files = ws.folder(f"{name}-{uuid.uuid4().hex[:8]}")
+    house = Lakehouse(ws.spark, f"{files}-tables", files)
+    for arrival in (0, 1):
+        _arrivals(ws).filter(F.col("arrival") == arrival).drop("arrival").write.mode("append").parquet(files)
+        house.update()
+    return house
+
+
+@register("sink_mv_incremental")
+def _(ws):
+    """Days refreshed where an update touched them, against the whole refresh that the SQL is."""
+    return _stepwise(ws, "by-day").read("gold_restaurant_performance").drop("gold_processed_at")
+
+
+@register("retention_enforced")
+def _(ws):
+    """What the lakehouse itself still holds once expired days are dropped, and after one more update."""
+    house = _stepwise(ws, "expiring")
+    for layer, as_of in RETENTION_AS_OF.items():
+        run_retention(house, as_of, {t: kept for t, kept in EXPIRES.items() if kept == layer})
+    house.update()
+    return maintenance.row_counts({t: house.read(t) for t in EXPIRES})
+
+
 @register("maintenance_then_update")
 def _(ws):
     """Compact, update, compact again: rows by the lakehouse, by the catalog and by a view on it."""

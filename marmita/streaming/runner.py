@@ -1,44 +1,54 @@
-"""One triggered update of the lakehouse: bronze and silver as streams, gold recomputed.
+"""One triggered update of the lakehouse: bronze and silver as streams, gold refreshed where they changed it.
 
 Each table has its own query, checkpoint and folder, so a rerun continues where
 the last one stopped and a lost executor costs only its unfinished tasks.
 Streaming tables are written by the file sink, whose log makes reads see each
-micro-batch exactly once.
+micro-batch exactly once.  Tables that expire, and those that are refreshed in
+part, have a folder per day.
 
 The entity tables keep the first arrival of each key, in one of two ways:
 
-``arrival``  Each micro-batch is reduced to its first row per key by arrival
-             order and stored, without a look at what came before.  Once per
-             update these claims are settled: new keys are appended, and a key
-             whose earlier arrival shows up later gets that row instead, in a
-             new version of the table.  Which row wins depends neither on task
-             timing nor on how the input was split into micro-batches, so the
-             table equals its batch form, and a key that fills a third of the
-             input is cut to one row per task before any shuffle.
-``state``    ``dropDuplicates`` with claimed keys in the state store; within one
-             micro-batch any row of a key may win.  Cheaper for many small
-             micro-batches, and ``dedup_horizon`` can bound its state.
+``arrival``  The state store remembers the earliest row of every key.  A stream
+             writes down what each micro-batch changes: a new key enters, and a
+             key whose earlier arrival shows up later gets that row instead of
+             the one it had.  A second stream then makes the days of the table
+             anew that have changes, from the changes of those days alone.
+             Which row wins depends neither on task timing nor on how the input
+             was split into micro-batches, so the table equals its batch form.
+``state``    ``dropDuplicates``; within one micro-batch any row of a key may win.
+
+``dedup_horizon`` bounds the state of both.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from dataclasses import replace
+from collections.abc import Callable, Iterable, Mapping
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from marmita.functions.casts import utc_day
 from marmita.operators import bronze, gold, maintenance, silver
 from marmita.operators.governance import tag_columns
-from marmita.operators.quality import Rules, keep_valid, quarantine, warn
+from marmita.operators.maintenance import settings
+from marmita.operators.quality import Rules, fail_on_violation, keep_valid, passes, passes_all, quarantine, warn
 from marmita.rules import RULES
 from marmita.schemas import batches_ddl
 from marmita.sources.capture import capture_rows, stream_capture
-from marmita.streaming.places import Place, Places
+from marmita.streaming.first_arrival import CHANGE, TABLE, arrival_changes, columns_of, entity_arrivals
+from marmita.streaming.history import RuleHistory
+from marmita.streaming.partitions import DAY, days_of, files_of, in_days, replace_days
 from marmita.tables import BRONZE_BATCHES, BRONZE_RAW, GOLD_TABLES, SCHEMAS
 
 SILVER = tuple(table for table in SCHEMAS if table.startswith("silver_"))
+# Followed tables with a folder per day, and what the day is: those that expire.
+DAYS = {BRONZE_BATCHES: "coalesce(event_date, ingestion_date)", "silver_orders": "order_date"}
+# Gold tables that are refreshed by day, and their day column.
+GOLD_DAYS = {"gold_daily_delivery_kpis": "metric_date", "gold_restaurant_performance": "order_date"}
+# Name of the stream that all entity tables share.
+ENTITIES = "entities"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -50,19 +60,21 @@ def rejected(table: str) -> str:
 class Lakehouse:
     """Tables below ``root``, fed by the archive at ``source``.
 
-    ``keep_rejected`` also stores the rows the silver rules drop.
+    ``keep_rejected`` also stores the rows the silver rules drop.  ``refuse`` has rules per streaming table that every row must meet: a
+    micro-batch with one that doesn't ends the update before it is committed, leaves no row, and is run again by the next update.
+    ``grain`` says whether orders and the gold tables have a folder per ``month`` or per ``day`` of the order: what a late order makes
+    anew, and what expires at a time.  Other tables have a folder per day of arrival.
     """
 
     def __init__(self, spark: SparkSession, root: str, source: str, source_format: str = "parquet",
                  table_format: str = "parquet", rules: Mapping[str, Rules] = RULES,
                  validate_first: bool = False, dedup: str = "arrival", dedup_orders: bool = False,
-                 dedup_horizon: str | None = None, keep_rejected: bool = False,
+                 dedup_horizon: str | None = None, keep_rejected: bool = False, refuse: Mapping[str, Rules] | None = None,
+                 grain: str = "month",
                  batch_bytes: int = 512 * 1024**3,
                  source_options: Mapping[str, str] | None = None):
         if dedup not in ("arrival", "state"):
             raise ValueError(f"dedup is 'arrival' or 'state', not {dedup!r}")
-        if dedup_horizon and dedup != "state":
-            raise ValueError("dedup_horizon bounds the state store; it needs dedup='state'")
         if keep_rejected and (dedup == "state" or dedup_orders):
             raise ValueError("kept and rejected rows come from one choice of first rows only with dedup='arrival' "
                              "and without dedup_orders")
@@ -82,13 +94,19 @@ class Lakehouse:
         self.source_options = dict(source_options or {})
         if not any(option.lower().startswith("max") for option in self.source_options):
             self.source_options |= self.batch_bytes
-        self.places = Places(spark, f"{self.root}/current")
-        # Progress figures of the last update: table -> rows read and rule counts.
-        self.progress: dict[str, dict] = {}
+        if grain not in ("month", "day"):
+            raise ValueError(f"grain is 'month' or 'day', not {grain!r}")
+        self.refuse, self.grain = dict(refuse or {}), grain
+        self.history = RuleHistory(spark, f"{self.root}/history/rules", table_format)
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         # Claimed keys are kept for good; off-heap state keeps them out of the executors' JVM heap.
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
+    @property
+    def progress(self) -> dict[str, dict]:
+        """Figures of the last update: table -> rows read and rule counts."""
+        return self.history.progress
+
     # -- places ---------------------------------------------------------------
 
     def path(self, table: str) -> str:
@@ -97,148 +115,151 @@ class Lakehouse:
     def checkpoint(self, table: str) -> str:
         return f"{self.root}/checkpoints/{table}"
 
-    def claims(self, table: str) -> str:
-        """First arrivals of an entity before its rules, one folder per micro-batch."""
-        return f"{self.root}/claims/{table}"
+    @property
+    def changes(self) -> str:
+        """What each micro-batch changed in the first arrivals of the entities, before their rules; a folder per table and day."""
+        return f"{self.root}/changes"
 
-    def location(self, table: str) -> str:
-        """The folder that holds the table now: the version its place names, or the file sink's folder."""
-        place = self.places.get(table)
-        return f"{self.path(table)}/{place.folder}" if place else self.path(table)
+    def _reader(self, schema: str | None):
+        # Retention may have removed what an older log still names.
+        reader = self.spark.read.format(self.table_format).option("ignoreMissingFiles", "true")
+        return reader.schema(schema) if schema else reader
 
     def read(self, table: str, schema: str | None = None) -> DataFrame:
         """Batch read with classification tags.
 
         ``schema`` may narrow a nested table to the fields wanted.
         """
-        reader = self.spark.read.format(self.table_format).option("recursiveFileLookup", "true")
-        declared = schema or SCHEMAS.get(table)
-        return tag_columns((reader.schema(declared) if declared else reader).load(self.location(table)), table)
+        rows = self._reader(schema or SCHEMAS.get(table)).option("recursiveFileLookup", "true").load(self.path(table))
+        return tag_columns(rows, table)
+
+    def by_day(self, table: str) -> DataFrame:
+        """Batch read with the column ``day`` that names the folders; a filter on it lists only those of its days."""
+        return self._reader(f"{SCHEMAS[table]}, {DAY} DATE").load(self.path(table)).drop("written_in")
 
     def follow(self, table: str, schema: str | None = None) -> DataFrame:
         """Streaming read of a table written by another query."""
+        return self._follow(self.path(table), schema or SCHEMAS[table], **self.batch_bytes)
+
+    def _follow(self, path: str, schema: str, **options: str) -> DataFrame:
         return (
-            self.spark.readStream.format(self.table_format).options(**self.batch_bytes)
-            .schema(schema or SCHEMAS[table]).load(self.path(table))
+            self.spark.readStream.format(self.table_format).schema(schema)
+            .option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true").options(**options).load(path)
         )
 
     # -- streams --------------------------------------------------------------
 
     def _append(self, table: str, df: DataFrame) -> StreamingQuery:
-        self.progress[table] = {"rows_read": 0, "rules": {}}
-        return (
-            df.writeStream.format(self.table_format).outputMode("append")
-            .option("path", self.path(table))
-            .option("checkpointLocation", self.checkpoint(table))
-            .trigger(availableNow=True).start()
-        )
+        if table in self.refuse:
+            df = fail_on_violation(df, self.refuse[table])
+        if table == "silver_orders":
+            return self._by_day(table, df)
+        return self._appended(table, df, self.path(table), F.expr(DAYS[table]) if table in DAYS else None)
 
-    def _claim_first_arrivals(self, entity: silver.Entity) -> StreamingQuery:
-        table, rules = entity.table, self.rules[entity.table]
-        self.progress[table] = {"rows_read": 0, "rules": {}}
+    def _folder(self, day: Column) -> Column:
+        """The first day of the folder that holds a day of orders."""
+        return F.trunc(day, "month") if self.grain == "month" else day
 
-        def write_batch(batch: DataFrame, number: int) -> None:
-            """Safe to repeat: a micro-batch overwrites only its own folder."""
-            first = silver.claims(batch, entity, self.validate_first, rules)
-            first.write.mode("overwrite").format(self.table_format).save(f"{self.claims(table)}/claimed_in={number}")
+    def ends(self, table: str, folder: date) -> date:
+        """The first day that is too late for a folder of a table."""
+        if self.grain == "month" and table in (*GOLD_DAYS, "silver_orders"):
+            return date(folder.year + folder.month // 12, folder.month % 12 + 1, 1)
+        return folder + timedelta(days=1)
 
-        return (
-            self.follow(BRONZE_BATCHES, batches_ddl(entity.keep)).writeStream.foreachBatch(write_batch)
-            .option("checkpointLocation", self.checkpoint(table))
-            .trigger(availableNow=True).start()
-        )
+    def _by_day(self, table: str, df: DataFrame) -> StreamingQuery:
+        """Rows that belong to many days at once come to the writers by day: few files a day, several for a large one.
 
-    def _settle(self, entity: silver.Entity) -> None:
-        """Bring an entity's table up to date with the claims of this update.
-
-        Reads what was claimed since the last time, and of older claims the key
-        and the arrival, once.  Every folder is this update's own and replaced
-        when the update is repeated; the place is set last.
+        Safe to repeat: a micro-batch replaces only its own folder in each day.
         """
-        table, spark = entity.table, self.spark
-        rules, key = self.rules[table], entity.key
-        place = self.places.get(table) or Place("")
-        numbers = [int(f.split("=")[1]) for f in self.places.folders(self.claims(table)) if f.startswith("claimed_in=")]
-        fresh_numbers = [n for n in numbers if n > place.covered]
-        if not fresh_numbers:
-            return
-        columns = f"{silver.ARRIVAL_DDL}, {SCHEMAS[table].replace(', silver_processed_at TIMESTAMP', '')}"
-
-        def read(*folders: str) -> DataFrame:
-            return spark.read.format(self.table_format).option("recursiveFileLookup", "true").schema(columns).load(list(folders))
-
-        settled, staged = f"{self.root}/settled/{table}", f"{self.root}/staged/{table}/update={place.update}"
-        new = silver.earliest(read(*(f"{self.claims(table)}/claimed_in={n}" for n in fresh_numbers)), key)
-        arrived = F.struct(*silver.ARRIVAL)
-        if place.settled:
-            # This update may have been tried before: what it left is not looked at.
-            before = [f"{settled}/{place.settled}/{f}" for f in self.places.folders(f"{settled}/{place.settled}")
-                      if f != f"update={place.update}"]
-            old = read(*before).select(F.col(key).alias("taken"), arrived.alias("taken_at"), F.lit(True).alias("known"))
-            new = (new.join(old, F.col(key).eqNullSafe(F.col("taken")), "left")
-                   .filter(F.col("known").isNull() | (arrived < F.col("taken_at")))
-                   .withColumn("replaces", F.col("known").isNotNull()).drop("taken", "taken_at", "known"))
-        else:
-            new = new.withColumn("replaces", F.lit(False))
-        new.write.mode("overwrite").format(self.table_format).save(staged)
-        won = spark.read.format(self.table_format).schema(f"{columns}, replaces BOOLEAN").load(staged)
-        corrections = won.filter("replaces").limit(1).count() > 0 or not place.settled
-
-        counted = Observation()
-        rows = warn(won.drop("replaces"), rules, counted)
-        if corrections:
-            version = f"v={place.update}"
-            if place.settled:
-                again = won.filter("replaces").select(F.col(key).alias("taken"))
-                rows = read(*before).join(again, F.col(key).eqNullSafe(F.col("taken")), "left_anti").unionByName(rows)
-            targets = dict.fromkeys(("settled", "table"), version)
-        else:
-            targets = {"settled": place.settled, "table": place.folder}
-        folder = f"update={place.update}"
-        rows.write.mode("overwrite").format(self.table_format).save(f"{settled}/{targets['settled']}/{folder}")
-        stored = read(f"{settled}/{targets['settled']}/{folder}").drop(*silver.ARRIVAL)
-        self._sized(silver.stamped(keep_valid(stored, rules)), f"{self.path(table)}/{targets['table']}/{folder}")
+        def write_batch(batch: DataFrame, number: int) -> None:
+            rows = batch.withColumns({DAY: self._folder(F.expr(DAYS[table])), "written_in": F.lit(number)})
+            with settings(batch.sparkSession, **{"spark.sql.adaptive.enabled": "true"}):
+                (rows.hint("rebalance", F.col(DAY)).sortWithinPartitions(DAY, *maintenance.CLUSTER_KEYS[table])
+                 .write.mode("overwrite").format(self.table_format).partitionBy(DAY, "written_in")
+                 .option("partitionOverwriteMode", "dynamic").save(self.path(table)))
+
+        return self._start(table, df.writeStream.foreachBatch(write_batch))
+
+    def _appended(self, table: str, df: DataFrame, path: str, day: Column | None = None) -> StreamingQuery:
+        writer = (df if day is None else df.withColumn(DAY, day)).writeStream.format(self.table_format).outputMode("append")
+        if day is not None:
+            writer = writer.partitionBy(DAY)
+        return self._start(table, writer.option("path", path))
+
+    def _start(self, name: str, writer: DataStreamWriter) -> StreamingQuery:
+        """Start a query that ends when all available input is read; what it reports is counted under its name."""
+        writer = writer.queryName(self._query(name)).option("checkpointLocation", self.checkpoint(name))
+        return writer.trigger(availableNow=True).start()
+
+    def _query(self, name: str) -> str:
+        return f"{name} {self.root}"
+
+    def _track_arrivals(self) -> StreamingQuery:
+        """The arrivals of all entities: one scan, one state."""
+        keep = {e.array: e.keep[e.array] for e in silver.DEDUPLICATED}
+        rows = entity_arrivals(self.follow(BRONZE_BATCHES, batches_ddl(keep)))
+        if self.validate_first:
+            rows = rows.filter(self._meets(self.rules))
+        if any(e.table in self.refuse for e in silver.DEDUPLICATED):
+            rows = fail_on_violation(rows, {"refused": self._meets(self.refuse)})
+        changed = arrival_changes(rows, ttl_ms=self._horizon_ms())
+        writer = changed.withColumn(DAY, utc_day(F.col(silver.ARRIVAL[0]))).writeStream.format(self.table_format).outputMode("append")
+        return self._start(ENTITIES, writer.partitionBy(TABLE, DAY).option("path", self.changes))
+
+    def _meets(self, rules: Mapping[str, Rules]) -> Column:
+        """Whether a row of several tables meets the rules of its own."""
+        return F.coalesce(*(F.when(F.col(TABLE) == e.table, passes_all(rules.get(e.table, {}))) for e in silver.DEDUPLICATED))
+
+    def _horizon_ms(self) -> int | None:
+        if not self.dedup_horizon:
+            return None
+        end = F.expr(f"unix_millis(TIMESTAMP'1970-01-01' + INTERVAL {self.dedup_horizon})")
+        return self.spark.range(1).select(end).first()[0]
+
+    def _settle(self) -> StreamingQuery:
+        """Make the days of the entity tables anew that have new changes, each from the changes of that day."""
+        held = {**columns_of(silver.DEDUPLICATED), "batch_id": "string"}
+        logged = ", ".join((silver.ARRIVAL_DDL, *(f"{name} {kind}" for name, kind in held.items()), f"{CHANGE} INT"))
+        def write_batch(batch: DataFrame, number: int) -> None:
+            counted = {"rows": F.lit(True), "rows_kept": self._meets(self.rules)}
+            counted |= {f"{e.table} {name}": passes(rule) for e in silver.DEDUPLICATED for name, rule in self.rules[e.table].items()}
+            seen = batch.groupBy(TABLE).agg(
+                *(F.sum(F.when(holds, F.col(CHANGE)).otherwise(0)).alias(name) for name, holds in counted.items()),
+                F.collect_set(DAY).alias("days"), F.bool_or(F.col(DAY).isNull()).alias("undated")).collect()  # a row per table, an entry per day
+            for found in seen:
+                self._replace_entity_days(found[TABLE], [*found.days, *([None] if found.undated else [])], logged)
+                counts = {"rows": found.rows, "rows_kept": found.rows_kept} | {n: found[f"{found[TABLE]} {n}"] for n in self.rules[found[TABLE]]}
+                self.history.add(f"{found[TABLE]}-days", f"{found[TABLE]}-days", number, 0, counts)
+
+        return self._start(f"{ENTITIES}-days", self._follow_changes(logged).writeStream.foreachBatch(write_batch))
+
+    def _follow_changes(self, schema: str) -> DataFrame:
+        reader = self.spark.readStream.format(self.table_format).schema(f"{schema}, {TABLE} STRING, {DAY} DATE")
+        return reader.option("ignoreMissingFiles", "true").load(self.changes)
+
+    def _replace_entity_days(self, table: str, days: list[date | None], schema: str) -> None:
+        rules = self.rules[table]
+        columns = [c.split(" ")[0] for c in SCHEMAS[table].split(", ")][:-1]
+        log = self._reader(f"{schema}, {TABLE} STRING, {DAY} DATE").load(self.changes).filter((F.col(TABLE) == table) & in_days(F.col(DAY), days))
+        first = (log.groupBy(*silver.ARRIVAL, *columns, DAY).agg(F.sum(CHANGE).alias(CHANGE)).filter(F.col(CHANGE) > 0)
+                 .select(*columns, DAY))
+        replace_days(silver.stamped(keep_valid(first, rules)), self.path(table), days, self.table_format)
         if self.keep_rejected:
-            self._sized(silver.stamped(quarantine(stored, rules)), f"{self.path(rejected(table))}/{targets['table']}/{folder}")
-            self.places.put(rejected(table), Place(targets["table"], update=place.update + 1))
-        self.places.put(table, Place(targets["table"], targets["settled"], max(numbers), place.update + 1))
-        self._add_counts(table, counted.get)
-
-    def _sized(self, df: DataFrame, folder: str) -> None:
-        """Write with file sizes from AQE: large partitions are split, small ones merged."""
-        df.hint("rebalance").write.mode("overwrite").format(self.table_format).save(folder)
-
-    def _add_counts(self, table: str, counts: Mapping[str, int]) -> None:
-        total = self.progress[table]["rules"]
-        for name, value in counts.items():
-            total[name] = total.get(name, 0) + value
-
-    def _drain(self, table: str, query: StreamingQuery, seen: dict[str, int]) -> None:
-        """Add up the progress reports since the last look.  Spark keeps only the recent ones; a gap means that some
-        were lost, and counts that lack rows are not reported as if they were whole."""
-        for progress in query.recentProgress:
-            number = progress["batchId"]
-            if number <= seen.get(table, -1):
-                continue
-            if table in seen and number > seen[table] + 1:
-                raise RuntimeError(f"progress of {table} between micro-batches {seen[table]} and {number} was lost")
-            seen[table] = number
-            self.progress[table]["rows_read"] += progress["numInputRows"]
-            for metrics in (progress.get("observedMetrics") or {}).values():
-                self._add_counts(table, metrics if isinstance(metrics, dict) else metrics.asDict())
-
-    def _finish(self, queries: Mapping[str, StreamingQuery]) -> None:
-        """Wait for all of them, adding up their progress as it comes; the first failure is raised after the others ended."""
-        failure, seen, running = None, {}, dict(queries)
-        while running:
-            for table, query in list(running.items()):
+            replace_days(silver.stamped(quarantine(first, rules)), self.path(rejected(table)), days, self.table_format)
+
+    def _finish(self, start: Mapping[str, Callable[[], StreamingQuery]]) -> None:
+        """Run queries side by side to their end, with their reports going to the history; the first failure is raised after the others ended."""
+        failure = None
+        self.spark.streams.addListener(self.history)
+        try:
+            for query in [begin() for begin in start.values()]:
                 try:
-                    ended = query.awaitTermination(0.2)
+                    query.awaitTermination()
                 except Exception as error:  # noqa: BLE001 - re-raised below
-                    failure, ended = failure or error, True
-                self._drain(table, query, seen)
-                if ended:
-                    del running[table]
+                    failure = failure or error
+            self.history.settle()
+        finally:
+            self.spark.streams.removeListener(self.history)
         if failure:
             raise failure
 
@@ -250,20 +271,27 @@ class Lakehouse:
             if table not in claimed:
                 built[table] = lambda t=table: self.checked(t)
                 built[rejected(table)] = lambda t=table: self.refused(t)
-        streams = {table: (lambda t=table, b=build: self._append(t, b())) for table, build in built.items()}
-        return streams | {t: (lambda e=entity: self._claim_first_arrivals(e)) for t, entity in claimed.items()}
+        return {table: (lambda t=table, b=build: self._append(t, b())) for table, build in built.items()}
 
     def run(self, *tables: str) -> None:
-        """Bring these tables up to date side by side; they must not feed each other."""
+        """Bring these tables up to date side by side; they must not feed each other.
+
+        With ``dedup="arrival"`` the entity tables share a stream, so one of them brings all of them up to date.
+        """
         streams = self._streams()
-        wanted = list(tables)
+        entities = [e.table for e in silver.DEDUPLICATED if e.table not in streams]
+        shared = any(t in entities for t in tables)
+        wanted = [t for t in tables if t not in entities]
         if self.keep_rejected:
             wanted += [rejected(t) for t in tables if rejected(t) in streams]
-        self._finish({table: streams[table]() for table in wanted})
-        if self.dedup == "arrival":
-            for entity in silver.DEDUPLICATED:
-                if entity.table in tables:
-                    self._settle(entity)
+        for table in (*wanted, *(entities if shared else ())):
+            self.history.expect(table, self._query(table), f"{table}-days")
+        if shared:
+            self.history.expect(ENTITIES, self._query(ENTITIES))
+        start = {table: streams[table] for table in wanted}
+        self._finish(start | ({ENTITIES: self._track_arrivals} if shared else {}))
+        if shared:
+            self._finish({ENTITIES: self._settle})
 
     def bronze_raw(self) -> DataFrame:
         return capture_rows(
@@ -303,50 +331,70 @@ class Lakehouse:
 
     # -- gold -----------------------------------------------------------------
 
-    def gold(self, table: str) -> DataFrame:
-        """A gold table as defined by the current silver tables."""
+    def gold(self, table: str, days: Iterable[date | None] | None = None) -> DataFrame:
+        """A gold table as defined by the current silver tables, or what it holds of some days."""
+        orders = self.read("silver_orders") if days is None else self.by_day("silver_orders").filter(in_days(F.col(DAY), days)).drop(DAY)
         if table == "gold_daily_delivery_kpis":
-            return gold.daily_kpis(self.read("silver_orders"))
+            return gold.daily_kpis(orders)
         if table == "gold_restaurant_performance":
-            return gold.restaurant_performance(self.read("silver_orders"), self.read("silver_restaurantes"))
+            return gold.restaurant_performance(orders, self.read("silver_restaurantes"))
         if table == "gold_item_category_metrics":
             return gold.item_category_metrics(self.read("silver_order_items"))
         raise KeyError(table)
 
-    def update_gold(self) -> None:
-        """Full refresh into a new version: a late order corrects the day it belongs to, and readers change over at once."""
-        for table in GOLD_TABLES:
-            self._new_version(table, gold.stamped(self.gold(table)))
-
-    def _new_version(self, table: str, rows: DataFrame) -> None:
-        """Write ``rows`` as the table's next version, clustered by its keys, then make it the current one."""
-        place = self.places.get(table) or Place("")
-        version = f"v={place.update}"
-        keys = maintenance.CLUSTER_KEYS.get(table)
-        target = f"{self.path(table)}/{version}/update={place.update}"
-        if keys:
-            maintenance.clustered(rows, keys).write.mode("overwrite").format(self.table_format).save(target)
+    def refresh_days(self, table: str, days: Iterable[date | None]) -> None:
+        """Make these folders of a gold table anew from the orders of the same folders."""
+        days = list(days)
+        rows = gold.stamped(self.gold(table, days)).withColumn(DAY, self._folder(F.col(GOLD_DAYS[table])))
+        replace_days(rows, self.path(table), days, self.table_format, maintenance.CLUSTER_KEYS.get(table, ()))
+
+    def _refresh_changed(self, table: str) -> StreamingQuery:
+        """Refresh the days, or months, that new orders belong to; a late one corrects its own."""
+        def write_batch(batch: DataFrame, _: int) -> None:
+            self.refresh_days(table, [row[0] for row in batch.select(self._folder(F.col("order_date"))).distinct().collect()])  # a row per folder
+
+        return self._start(table, self._follow(self.path("silver_orders"), SCHEMAS["silver_orders"]).writeStream.foreachBatch(write_batch))
+
+    def _refresh_renamed(self) -> StreamingQuery:
+        """Refresh the days that have a restaurant whose row is new or another one; days that hold no such restaurant stay."""
+        table = "gold_restaurant_performance"
+
+        def write_batch(batch: DataFrame, _: int) -> None:
+            if not days_of(self.spark, self.path(table)):
+                return
+            stored = self.spark.read.format(self.table_format).load(self.path(table))
+            changed = batch.select(F.col("merchant_id").alias("restaurant_id")).distinct()
+            self.refresh_days(table, [row[0] for row in stored.join(changed, "restaurant_id", "left_semi").select(DAY).distinct().collect()])
+
+        if self.dedup == "arrival":
+            changes = self._follow_changes("merchant_id STRING").filter(F.col(TABLE) == "silver_restaurantes")
         else:
-            self._sized(rows, target)
-        self.places.put(table, replace(place, folder=version, update=place.update + 1))
+            changes = self.follow("silver_restaurantes")
+        return self._start(f"{table}-names", changes.writeStream.foreachBatch(write_batch))
 
-    def compact(self, table: str) -> None:
-        """Rewrite a versioned table as few files.  Later updates go on from the new version.
+    def update_gold(self) -> None:
+        """Days with new orders are refreshed, and days with a restaurant that changed; the category table, which has no days, as a whole."""
+        self._finish({"names": self._refresh_renamed})
+        self._finish({table: (lambda t=table: self._refresh_changed(t)) for table in GOLD_DAYS})
+        self._overwrite("gold_item_category_metrics", gold.stamped(self.gold("gold_item_category_metrics")))
+
+    def _overwrite(self, table: str, rows: DataFrame) -> None:
+        rows.hint("rebalance").write.mode("overwrite").format(self.table_format).save(self.path(table))
+
+    def compact(self, table: str) -> list[date | None]:
+        """Rewrite the days of a table that consist of several files, as few files; returns them.
 
         Tables of the file sink are left alone: streams follow their files, which
         must not come a second time.
         """
-        if self.places.get(table) is None:
+        if table not in (*GOLD_DAYS, *(e.table for e in silver.DEDUPLICATED)) or (self.dedup != "arrival" and table not in GOLD_DAYS):
             raise ValueError(f"{table} is written by the file sink and followed by streams; its files stay as they are")
-        self._new_version(table, self.read(table))
-
-    def vacuum(self, table: str, keep: int = 2) -> None:
-        """Delete all but the last ``keep`` versions of a table; the current one always stays."""
-        place = self.places.get(table)
-        versions = sorted((f for f in self.places.folders(self.path(table)) if f.startswith("v=")), key=lambda f: int(f[2:]))
-        for version in versions[:-keep] if keep else versions:
-            if place and version != place.folder:
-                self.places.delete(f"{self.path(table)}/{version}")
+        path = self.path(table)
+        several = [day for day in days_of(self.spark, path) if len(files_of(self.spark, path, day)) > 1]
+        if several:
+            stored = self._reader(f"{SCHEMAS[table]}, {DAY} DATE" if table in SCHEMAS else None).load(path)
+            replace_days(stored.filter(in_days(F.col(DAY), several)), path, several, self.table_format, maintenance.CLUSTER_KEYS.get(table, ()))
+        return several
 
     def update(self) -> None:
         self.update_bronze()
@@ -359,6 +407,6 @@ class Lakehouse:
             columns = f"({SCHEMAS[table]}) " if table in SCHEMAS else ""
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {schema}.{table} {columns}USING {self.table_format} "
-                f"OPTIONS (recursiveFileLookup 'true') LOCATION '{self.location(table)}'")
-            self.spark.sql(f"ALTER TABLE {schema}.{table} SET LOCATION '{self.location(table)}'")
+                f"OPTIONS (recursiveFileLookup 'true') LOCATION '{self.path(table)}'")
+            self.spark.sql(f"ALTER TABLE {schema}.{table} SET LOCATION '{self.path(table)}'")
             self.spark.catalog.refreshTable(f"{schema}.{table}")
