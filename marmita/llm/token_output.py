@@ -11,13 +11,16 @@ defines symbol ``base`` + i), ``expansions`` (uint32, tokens of each rule's symb
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import types
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,6 +39,11 @@ BLOCKS = ("shard long, block long, n_tokens long, doc_ids array<long>, base long
           "expansions binary, symbols binary")
 
 MARKS = ".,;:!?#%&*$|\"')"
+#: Code points from here on are left to the tokenizer's own table of letters.
+AFTER_LATIN = "\u0250"
+#: How byte-level models spell the 256 bytes: printable ones as themselves, the others as code points from 256 on.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+SPELLED = {b: chr(b) for b in PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)).difference(PRINTABLE)))}
 LONE_SPACE = re.compile(r"(?<!\s) (?!\s)")
 
 
@@ -43,12 +51,23 @@ def beside_space(unit: str) -> bool:
     return not unit or unit[0].isspace() or unit[-1].isspace()
 
 
+def known_pattern(tokenizer_json: str) -> bool:
+    """Whether the tokenizer cuts texts as ``Encoder`` relies on: byte-level pieces by the usual pattern, nothing before it, no greedy added tokens."""
+    with open(tokenizer_json, encoding="utf-8") as file:
+        stated = json.load(file)
+    pieces = stated.get("pre_tokenizer") or {}
+    return (stated.get("normalizer") is None and pieces.get("type") == "ByteLevel" and pieces.get("use_regex") is True
+            and pieces.get("add_prefix_space") is False
+            and all(not t["lstrip"] and not t["rstrip"] and not any(c.isspace() for c in t["content"]) for t in stated.get("added_tokens", [])))
+
+
 class Encoder:
     """Ids of whole texts with a byte-level BPE tokenizer, each distinct unit encoded once.
 
     The tokenizer's own pattern starts a new piece at a single space between two visible characters, so a text cut there has the ids of its
     units in a row.  White space next to a space is not cut.  New units are encoded together as lines of one text, since a
-    newline before a visible character or a space is a piece of its own.
+    newline before a visible character or a space is a piece of its own.  Units are found, and their ids laid out, by columns; only units that
+    are new to a batch are looked at one by one.  A tokenizer of another pattern encodes whole texts.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -56,6 +75,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_json)
         self.newline = self._ids(["\n"])[0].tolist()
+        self.model = self.tokenizer.model
+        self.cuts = known_pattern(tokenizer_json) and len(self.newline) == 1
         self.first: dict[str, bytes] = {"": b""}
         # After a space: units without white space at their ends, and the others, which a text may end with.
         self.spaced: dict[str, bytes] = {}
@@ -65,7 +86,14 @@ class Encoder:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, memo: dict[str, bytes], units: set[str], before: str) -> None:
-        new = list(units.difference(memo))
+        new = units.difference(memo)
+        # A word of Latin letters is one piece: its bytes, as the model spells them, go to the model at once.
+        words = [u for u in new if u.isalpha() and (u.isascii() or max(u) < AFTER_LATIN)]
+        tokenize, space = self.model.tokenize, SPELLED[32] * len(before)
+        for word in words:
+            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(SPELLED)
+            memo[word] = array("I", [token.id for token in tokenize(space + spelled)]).tobytes()
+        new = list(new.difference(words))
         lines = [u for u in new if u and "\n" not in u] if len(self.newline) == 1 else []
         for start in range(0, len(lines), LINES):
             part = lines[start:start + LINES]
@@ -81,30 +109,73 @@ class Encoder:
         rest = [u for u in new if u not in memo]
         memo.update(zip(rest, (x.tobytes() for x in self._ids([before + u for u in rest])), strict=True))
 
+    def _learn_tails(self, new: set[str]) -> None:
+        """Units without white space at their ends, as they are after a space.
+
+        The pattern also ends a piece between a word and the marks that close it, and around a newline between visible characters, so a word is encoded
+        once for all its endings and whatever line follows.
+        """
+        lines = {u: parts for u in new if "\n" in u and not any(map(beside_space, parts := u.split("\n")))}
+        new = (new - lines.keys()).union(p[0] for p in lines.values()).difference(self.spaced)
+        words = {u: word for u in new if (word := u.rstrip(MARKS)) != u and word and word[-1].isalnum()}
+        self._learn(self.first, {u[len(word):] for u, word in words.items()}.union(*(p[1:] for p in lines.values())), "")
+        self._learn(self.spaced, (new - words.keys()).union(words.values()), " ")
+        self.spaced.update([(u, self.spaced[word] + self.first[u[len(word):]]) for u, word in words.items()])
+        newline = np.array(self.newline, np.uint32).tobytes()
+        self.spaced.update([(u, newline.join((self.spaced[p[0]], *map(self.first.__getitem__, p[1:])))) for u, p in lines.items()])
+
+    def _encode_edged(self, texts: list[str]) -> list[np.ndarray]:
+        """Texts with white space beside a space, which is no cut."""
+        units = [LONE_SPACE.split(t) for t in texts]
+        heads = [u.pop(0) for u in units]
+        tails = set().union(*units).difference(self.spaced)
+        edged = {u for u in tails if beside_space(u)}
+        self._learn(self.first, set(heads), "")
+        self._learn(self.edged, edged, " ")
+        self._learn_tails(tails - edged)
+        return [np.frombuffer(self.first[head] + b"".join(self.edged[u] if u in edged else self.spaced[u] for u in tail), np.uint32)
+                for head, tail in zip(heads, units, strict=True)]
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids (uint32) of each text."""
+        if not self.cuts:
+            return self._ids(texts)
+        if not texts:
+            return []
         if len(self.spaced) + len(self.first) + len(self.edged) > MEMO_UNITS:
             self.first, self.spaced, self.edged = {"": b""}, {}, {}
-        units = [t.split(" ") for t in texts]
-        bad = {u for u in set().union(*units).difference(self.spaced) if beside_space(u)}
-        if bad:  # cut beside other white space, which is no cut
-            units = [u if bad.isdisjoint(u) else LONE_SPACE.split(t) for u, t in zip(units, texts, strict=True)]
-        heads = [u.pop(0) for u in units]
-        tails = set().union(*units)
-        edged = {u for u in tails.difference(self.spaced) if beside_space(u)}
-        # The pattern also ends a piece between a word and the marks that close it, so a word is encoded once for all its endings.
-        new = tails.difference(self.spaced) - edged
-        words = {u: word for u in new if (word := u.rstrip(MARKS)) != u and word and word[-1].isalnum()}
-        self._learn(self.first, {u[len(word):] for u, word in words.items()}.union(heads), "")
-        self._learn(self.edged, edged, " ")
-        self._learn(self.spaced, (new - words.keys()).union(words.values()), " ")
-        self.spaced.update([(u, self.spaced[word] + self.first[u[len(word):]]) for u, word in words.items()])
-        out = []
-        for head, tail in zip(heads, units, strict=True):
-            known = map(self.spaced.__getitem__, tail) if edged.isdisjoint(tail) else (
-                self.edged[u] if u in edged else self.spaced[u] for u in tail)
-            out.append(np.frombuffer(self.first[head] + b"".join(known), np.uint32))
-        return out
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        begin = split.offsets.to_numpy()
+        found = split.flatten().dictionary_encode()
+        units, codes = found.dictionary.to_pylist(), found.indices.to_numpy()
+        pieces = [self.spaced.get(u) for u in units]
+        unknown = [i for i, known in enumerate(pieces) if known is None]
+        strange = np.zeros(len(units), bool)
+        strange[[i for i in unknown if beside_space(units[i])]] = True
+        odd = np.logical_or.reduceat(strange[codes], begin[:-1])
+        if odd.any():
+            out: list = [None] * len(texts)
+            for some, encode in ((np.flatnonzero(odd), self._encode_edged), (np.flatnonzero(~odd), self.encode)):
+                for i, ids in zip(some.tolist(), encode([texts[i] for i in some.tolist()]), strict=True):
+                    out[i] = ids
+            return out
+        tail = np.ones(len(codes), bool)
+        tail[begin[:-1]] = False
+        after = np.zeros(len(units), bool)
+        after[codes[tail]] = True
+        heads = [units[c] for c in codes[begin[:-1]].tolist()]
+        self._learn(self.first, set(heads), "")
+        self._learn_tails({units[i] for i in unknown if after[i]})
+        for i in unknown:
+            pieces[i] = self.spaced[units[i]] if after[i] else b""
+        pieces += [self.first[u] for u in heads]  # entries of their own, behind those of the units after a space
+        codes = codes.astype(np.int64)
+        codes[begin[:-1]] = len(units) + np.arange(len(heads))
+        flat, size = np.frombuffer(b"".join(pieces), np.uint32), np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+        length = size[codes]
+        ends = np.cumsum(length)
+        ids = flat[np.repeat((np.cumsum(size) - size)[codes] - (ends - length), length) + np.arange(int(ends[-1]))]
+        return np.split(ids, ends[begin[1:-1] - 1])
 
 
 def worker_encoder(tokenizer_json: str) -> Encoder:

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import json
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -32,6 +34,32 @@ def test_units_have_the_ids_of_the_whole():
     assert [few.encode([x])[0].tolist() for x in some] == want
 
 
+def test_words_lines_and_letters_of_all_kinds():
+    """Words of Latin and other letters, joined by newlines, closed by marks, with digits or control strings in them."""
+    rng = random.Random(9)
+    letters = ["abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "àéîõüßÆøłžſƀɏ", "ɐʰͰабвЖ", "漢字かなカナ", "ªºµ", "١٢٣४५", "Აꟊ𞤀𝄞"]
+    word = lambda: "".join(rng.choices(letters[min(len(letters) - 1, int(rng.expovariate(1)))], k=rng.randrange(1, 14)))
+    ends = ["", "", "", ",", ".", "'s", "'", "!?", "\n" + word(), ".\n" + word() + ",", "\n\n" + word(), "1", "<|endoftext|>", "'ll\n" + word(), "\n's"]
+    some = [" ".join(word() + rng.choice(ends) for _ in range(rng.randrange(12))) for _ in range(6000)]
+    want = [e.ids for e in Tokenizer.from_file(PATH).encode_batch(some, add_special_tokens=False)]
+    encoder = t.Encoder(PATH)
+    assert [x.tolist() for i in range(0, 6000, 500) for x in encoder.encode(some[i:i + 500])] == want
+    assert encoder.encode([]) == []
+
+
+def test_a_tokenizer_of_another_pattern_encodes_whole_texts(tmp_path):
+    stated = json.loads(Path(PATH).read_text(encoding="utf-8"))
+    some = texts(500) + ["the cat's 12 dogs, all of them. "]
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}},
+                   {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}}):
+        path = str(tmp_path / "other.json")
+        Path(path).write_text(json.dumps(stated | change), encoding="utf-8")
+        assert not t.known_pattern(path)
+        want = [e.ids for e in Tokenizer.from_file(path).encode_batch(some, add_special_tokens=False)]
+        assert [x.tolist() for x in t.Encoder(path).encode(some)] == want
+    assert t.known_pattern(PATH)
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_grammar_round_trip(seed):
     rng = np.random.default_rng(seed)
