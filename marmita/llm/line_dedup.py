@@ -42,19 +42,23 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = 6, site: str = "source"
 
     Null texts stay null with 0 lines.  All occurrences of a line go, the other lines keep their order and form.  Rows that repeat a
     doc_id or have none are handled by their own text.  All columns of ``docs`` stay; n_lines and n_removed replace columns
-    of these names.  No rows give no rows.
+    of these names.  No rows give no rows; a text of any length is one row, and its lines are found in place.
     """
     spread = store(spread_lines(docs, min_sites, site), "boilerplate")
-    own = docs.drop("n_lines", "n_removed")
+    # Under names of their own, so that no column of the caller can clash.
+    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    own = docs.select(*(F.col(f"`{name}`").alias(f"own_{i}") for i, name in enumerate(names)))
+    doc_id, text = (F.col(f"own_{names.index(name)}") for name in ("doc_id", "text"))
     keys = F.array_distinct(F.transform(F.filter(lines_of(F.col("text")), lambda x: x != ""), _key))
-    hit = (docs.select(F.col("doc_id").alias("__id"), F.explode(keys).alias("line_key"))
-           .join(spread, "line_key").groupBy("__id").agg(F.collect_set("line_key").alias("__keys")))
-    joined = own.join(hit, own["doc_id"].eqNullSafe(hit["__id"]), "left")
-    lines = F.split(F.col("text"), "\n")
-    bad = F.coalesce("__keys", F.array().cast("array<bigint>"))
+    hit = (docs.select(F.col("doc_id").alias("hit_id"), F.explode(keys).alias("line_key"))
+           .join(spread, "line_key").groupBy("hit_id").agg(F.collect_set("line_key").alias("hit_keys")))
+    joined = own.join(hit, doc_id.eqNullSafe(F.col("hit_id")), "left")
+    lines = F.split(text, "\n")
+    bad = F.coalesce("hit_keys", F.array().cast("array<bigint>"))
     kept = F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(bad, _key(F.trim(x))))
     real = F.coalesce(F.size(F.filter(lines, lambda x: F.trim(x) != "")), F.lit(0))
     removed = F.coalesce(F.size(lines) - F.size(kept), F.lit(0))
-    return (joined.withColumns({"n_lines": real.cast("long"), "n_removed": removed.cast("long"),
-                                "__kept": F.when(F.col("__keys").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))})
-            .withColumn("text", F.col("__kept")).drop("__id", "__keys", "__kept"))
+    cleaned = F.when(F.col("hit_keys").isNull(), text).otherwise(F.array_join(kept, "\n"))
+    counted = joined.select(*own.columns, cleaned.alias("own_cleaned"), real.cast("long").alias("own_lines"), removed.cast("long").alias("own_removed"))
+    return counted.select(*(F.col("own_cleaned" if name == "text" else f"own_{i}").alias(name) for i, name in enumerate(names)),
+                          F.col("own_lines").alias("n_lines"), F.col("own_removed").alias("n_removed"))

@@ -31,3 +31,16 @@ def test_threshold_is_exact_beyond_the_sketches(spark):
 def test_empty(spark):
     out = remove_boilerplate(spark.createDataFrame([], DDL))
     assert out.collect() == [] and out.columns == ["doc_id", "text", "source", "__x", "n_lines", "n_removed"]
+
+
+def test_columns_of_any_name_stay(spark):
+    """Also names that the operator uses itself, and a very long text."""
+    ddl = "doc_id LONG, text STRING, source STRING, __id INT, __keys STRING, __kept STRING, line_key STRING, own_0 INT, hit_id INT, hit_keys STRING, sites INT, `a.b` INT"
+    rows = [(i, f"own {i}\nshared", f"s{i}", 1, "k", "t", "l", 2, 3, "h", 4, 5) for i in range(8)]
+    rows += [(99, "word " * 200_000 + "\nshared\n" + "line\n" * 50_000, "s1", 1, "k", "t", "l", 2, 3, "h", 4, 5)]
+    out = remove_boilerplate(spark.createDataFrame(rows, ddl))
+    assert out.columns == [p.split(" ")[0].strip("`") for p in ddl.split(", ")] + ["n_lines", "n_removed"]
+    got = {r.doc_id: r for r in out.collect()}
+    assert all(tuple(r)[3:12] == (1, "k", "t", "l", 2, 3, "h", 4, 5) for r in got.values())
+    assert got[3].text == "own 3" and got[99].text == "word " * 200_000 + "\n" + "line\n" * 50_000
+    assert (got[99].n_lines, got[99].n_removed) == (50_002, 1)

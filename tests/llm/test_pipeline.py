@@ -66,3 +66,28 @@ def test_no_documents(spark, tmp_path):
     spark.createDataFrame([], DDL).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id LONG, text STRING").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_rows_are_judged_one_by_one(spark, tmp_path):
+    """Repeated and missing doc_ids, and columns named as stages name theirs: no good row goes with a bad one, and bad ones go."""
+    tables(spark, tmp_path)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    extra = "row LONG, copies STRING, mixed INT, copy INT, taken INT, kept STRING, failed INT, first INT"
+    good = [r.text for r in docs.where("doc_id < 6").orderBy("doc_id").collect()]
+    leak = spark.read.parquet(f"{tmp_path}/benchmark.parquet").first().text
+    some = [(None, "too short"), (None, good[0] + " end"), (7, "few words"), (7, good[1] + " end"), (8, good[2] + " " + leak), (8, good[3] + " end"),
+            (None, good[4] + " " + leak), (None, good[5]), (9, good[5])]
+    rows = [(i, t, "en", "s0", 0, 1, "c", 2, 3, 4, "k", 5, 6) for i, t in some]
+    more = spark.createDataFrame(rows, f"{DDL}, {extra}")
+    own = more.unionByName(docs.where("doc_id >= 20 AND doc_id < 90"), allowMissingColumns=True)
+    left = own
+    for name, stage in pipeline.STAGES[:-1]:
+        left = stage(spark, left, str(tmp_path))
+        assert left.columns == own.columns
+        left.write.parquet(f"{tmp_path}/judged {name}")
+        left = spark.read.parquet(f"{tmp_path}/judged {name}")
+        if name == "decontamination":
+            kept = {(r.doc_id, r.text) for r in left.collect()}
+    assert {x for x in kept if x[0] is None or x[0] < 20} == {(None, good[0] + " end"), (7, good[1] + " end"), (8, good[3] + " end"), (9, good[5])}
+    mixed = left.where("doc_id = 9").first()
+    assert mixed is None or tuple(mixed)[5:] == (1, "c", 2, 3, 4, "k", 5, 6)
