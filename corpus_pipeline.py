@@ -1,7 +1,7 @@
 """A training corpus from raw documents in five stages, each written as Parquet and read again by the next.
 
-Every stage but the last takes and returns the columns of ``documents`` and acts on all rows that reach it.  Rows are judged alike when they repeat;
-a row without doc_id is judged by its own text where a stage can, and is kept where it cannot.
+Every stage but the last takes and returns the columns of ``documents``, and any others whatever their names, and judges each row by its own text: rows
+that share a doc_id or have none are told apart by a number.  Null texts fail the quality rules; very long texts are judged whole; no rows stay no rows.
 """
 
 from __future__ import annotations
@@ -23,26 +23,46 @@ from marmita.sources.tables import read_table
 ORACLE_SQL = None
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose doc_id is not among ``ids`` (doc_id); rows without one stay."""
-    return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+def _free_name(docs: DataFrame, name: str) -> str:
+    """``name``, longer while a column has it."""
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return name
+
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` written with a number per row, and the name of that column."""
+    row = _free_name(docs, "row")
+    return store(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+
+
+def _judged(numbered: DataFrame, row: str) -> DataFrame:
+    """The rows as operators see them: the number in place of the doc_id."""
+    others = [c for c in ("text", "lang", "source") if c in numbered.columns]
+    return numbered.select(F.col(row).alias("doc_id"), *others)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the counted rules and their language's perplexity band.  A doc_id goes if a row of it fails, and so does
-    a row without doc_id if another such row fails."""
-    failed = quality(docs).where("NOT kept").select(F.col("doc_id").alias("failed")).distinct()
-    return docs.join(failed, docs["doc_id"].eqNullSafe(failed["failed"]), "left_anti").select(*docs.columns)
+    """Rows that pass the counted rules and their language's perplexity band."""
+    numbered, row = _numbered(docs)
+    failed = quality(_judged(numbered, row)).where("NOT kept").select(F.col("doc_id").alias(row))
+    return numbered.join(failed, row, "left_anti").select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, the one with the smallest doc_id."""
-    return _without(docs, near_duplicates(docs).where("NOT kept"))
+    """One row of each near-duplicate group, one with the smallest doc_id (null last)."""
+    numbered, row = _numbered(docs)
+    groups = near_duplicates(_judged(numbered, row)).select(F.col("doc_id").alias(row), "component_id")
+    known = numbered.select(row, F.struct(F.col("doc_id").isNull(), "doc_id", row).alias("first"))
+    chosen = groups.join(known, row).groupBy("component_id").agg(F.min("first").getField(row).alias(row)).select(row)
+    return numbered.join(chosen, row, "left_semi").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
-    return _without(docs, contained_items(docs, read_table(spark, sf_dir, "benchmark")))
+    """Rows that contain no benchmark item."""
+    numbered, row = _numbered(docs)
+    found = contained_items(_judged(numbered, row), read_table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(row)).distinct()
+    return numbered.join(found, row, "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,9 +70,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that repeat a doc_id get the copies of the one that is taken most.
     """
-    copies = mix(docs).groupBy(F.col("doc_id").alias("mixed")).agg(F.max("copies").cast("int").alias("copies")).where("copies > 0")
-    chosen = docs.join(copies, docs["doc_id"].eqNullSafe(copies["mixed"]))
-    return chosen.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    taken, copies = _free_name(docs, "taken"), _free_name(docs, "copies")
+    number = mix(docs).groupBy(F.col("doc_id").alias(taken)).agg(F.max("copies").cast("int").alias(copies)).where(F.col(copies) > 0)
+    chosen = docs.join(number, docs["doc_id"].eqNullSafe(number[taken]))
+    return chosen.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias(taken)).select(*docs.columns)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

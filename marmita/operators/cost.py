@@ -91,12 +91,12 @@ def variation(cost_detail: DataFrame, days: int, by: str = "service_name",
               end: date | None = None) -> DataFrame:
     """Total of the last ``days`` days against the same span before it.
 
-    ``pct_change`` is null where the earlier span cost nothing.  The detail is
-    read once: it is summed per day, and the latest day is found among the sums.
+    ``pct_change`` is null where the earlier span cost nothing.  The latest day
+    is an aggregate of its own over that one column, so that the daily sums of
+    all values never meet in a task.
     """
     daily = cost_detail.groupBy(by, "usage_date").agg(F.sum("pretax_cost").alias("cost"))
-    latest = F.max("usage_date").over(Window.partitionBy(F.lit(0)))
-    dated = daily.withColumn("to", F.lit(end).cast("date") if end is not None else latest)
+    dated = daily.withColumn("to", last_day(cost_detail, end))
     spans = dated.withColumn("age", F.datediff("to", "usage_date")).filter(F.col("age").between(0, 2 * days - 1))
 
     def span(low: int, high: int, name: str) -> Column:
