@@ -12,11 +12,11 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-Rules = Mapping[str, str]
+Rules = Mapping[str, str | Column]
 
 
-def passes(predicate: str) -> Column:
-    return F.coalesce(F.expr(predicate), F.lit(False))
+def passes(predicate: str | Column) -> Column:
+    return F.coalesce(F.expr(predicate) if isinstance(predicate, str) else predicate, F.lit(False))
 
 
 def passes_all(rules: Rules) -> Column:

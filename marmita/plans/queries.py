@@ -580,7 +580,7 @@ def _(ws):
 def _(ws):
     """A rule that the second arrival breaks refuses its micro-batch; mended, the next update stores each row once."""
     files = ws.folder(f"refused-{uuid.uuid4().hex[:8]}")
-    strict = {"silver_orders": {"first_arrival": "CAST(batch_id AS BIGINT) DIV 8 % 2 = 0"}}
+    strict = {"silver_orders": {"first_arrival": "batch_id IS NULL OR CAST(batch_id AS BIGINT) DIV 8 % 2 = 0"}}
     states = []
     for arrival, refuse, state in ((0, strict, "first"), (1, strict, "refused"), (None, {}, "mended")):
         if arrival is not None:

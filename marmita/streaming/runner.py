@@ -150,8 +150,6 @@ class Lakehouse:
     # -- streams --------------------------------------------------------------
 
     def _append(self, table: str, df: DataFrame) -> StreamingQuery:
-        if table in self.refuse:
-            df = fail_on_violation(df, self.refuse[table])
         if table == "silver_orders":
             return self._by_day(table, df)
         return self._appended(table, df, self.path(table), F.expr(DAYS[table]) if table in DAYS else None)
@@ -298,7 +296,7 @@ class Lakehouse:
             stream_capture(self.spark, self.source, self.source_format, **self.source_options))
 
     def bronze_batches(self) -> DataFrame:
-        parsed = bronze.parse_batches(self.follow(BRONZE_RAW))
+        parsed = self._refusing(BRONZE_BATCHES, bronze.parse_batches(self.follow(BRONZE_RAW)))
         return warn(parsed, self.rules[BRONZE_BATCHES], "rules")
 
     def unchecked(self, table: str) -> DataFrame:
@@ -315,7 +313,11 @@ class Lakehouse:
 
     def checked(self, table: str) -> DataFrame:
         rules = self.rules[table]
-        return silver.stamped(keep_valid(warn(self.unchecked(table), rules, "rules"), rules))
+        return silver.stamped(keep_valid(warn(self._refusing(table, self.unchecked(table)), rules, "rules"), rules))
+
+    def _refusing(self, table: str, rows: DataFrame) -> DataFrame:
+        """``rows`` before any rule drops some, ending the micro-batch at one that the table refuses."""
+        return fail_on_violation(rows, self.refuse[table]) if table in self.refuse else rows
 
     def refused(self, table: str) -> DataFrame:
         return silver.stamped(quarantine(self.unchecked(table), self.rules[table]))
