@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from conftest import client, order, payload, restaurant
 from marmita.jobs import run_update
 from marmita.operators import gold, silver
-from marmita.streaming.first_arrival import FirstArrival, entity_arrivals, thinned
+from marmita.streaming.first_arrival import FirstArrival, content_order, entity_arrivals, new_firsts, thinned
 from marmita.streaming.partitions import days_of, drop_days, replace_days
 from marmita.tables import BRONZE_BATCHES
 
@@ -71,6 +71,21 @@ def test_thinned_keeps_the_earliest_of_a_batch_and_ties(spark):
     assert thinned(df.limit(0)).count() == 0
 
 
+def test_one_order_of_columns_sorts_every_entity():
+    place = content_order().index
+    for entity in silver.DEDUPLICATED:
+        places = [place(name) for name in entity.names if name != entity.key]
+        assert places == sorted(places), entity.table
+
+
+def test_first_rows_need_no_python_worker(spark, batches):
+    some = batches(payload("b1", clientes=[client(nome="b"), client(nome="a"), client("C2")])).withColumn("sequence_number", F.lit(1).cast("long"))
+    first = new_firsts(entity_arrivals(some.unionByName(some)))
+    assert sorted((r.entity_key, r.nome, r.takes_over) for r in first.filter("entity_key IS NOT NULL").collect()) == [("C1", "b", False), ("C2", "Ana", False)]
+    assert first.filter("entity_key IS NULL").count() == 3
+    assert "Python" not in first._jdf.queryExecution().executedPlan().toString()
+
+
 def test_one_scan_has_the_rows_of_all_entities(spark, batches):
     some = batches(payload("b1", clientes=[client(), client("C2", CPF=5)], items=[]), "not json", None, payload("b2", drivers=[{"placa": "x"}]))
     some = some.withColumn("sequence_number", F.col("sequence_number").cast("long"))

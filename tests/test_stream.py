@@ -215,6 +215,20 @@ def test_backfill_in_several_micro_batches(spark, archive, tmp_path):
     assert sorted(streamed) == sorted(silver.dimension(house.read(BRONZE_BATCHES), silver.CLIENTES).collect())
 
 
+def test_micro_batches_do_not_multiply_from_table_to_table(spark, archive, tmp_path):
+    """A table with many folders is followed by micro-batches as it was written, not file by file."""
+    for n in range(3):
+        archive.add(*(payload(f"b{n}{d}", orders=[order(f"P{n}{d}", created_at=f"2024-{d:02d}-01T12:00:00+00:00")]).replace(
+            '"ingestion_ts": "2024-05-01', f'"ingestion_ts": "2024-05-{d:02d}') for d in range(1, 9)))
+    house = Lakehouse(spark, str(tmp_path / "house"), archive.folder, source_options={"maxFilesPerTrigger": "1"}, batch_bytes=1)
+    house.update_bronze()
+    house.run("silver_orders")
+    house.run("silver_order_items")
+    ran = {t: len([*(tmp_path / "house" / "checkpoints" / t / "commits").glob("[0-9]*")]) for t in (BRONZE_RAW, "silver_orders", "silver_order_items")}
+    assert ran[BRONZE_RAW] == 3 and all(2 <= n <= 6 for n in ran.values()), ran  # 24 files of orders by day, 24 by month
+    assert house.read("silver_order_items").count() == 24
+
+
 @pytest.mark.parametrize("dedup", ["arrival", "state"])
 def test_bounded_dedup_state(spark, archive, tmp_path, dedup):
     archive.add(payload("b1", clientes=[client(), client()])).add(payload("b2", clientes=[client(), client("C2")]))
