@@ -3,9 +3,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import client, driver, item, order, payload, restaurant
+from conftest import STAMP, client, driver, item, order, payload, restaurant
 from marmita.jobs import run_governance, run_live_maintenance, run_update
 from marmita.operators import silver
+from marmita.operators.maintenance import settings
 from marmita.schemas import batches_ddl
 from marmita.streaming import runner
 from marmita.streaming.runner import Lakehouse, rejected
@@ -55,6 +56,35 @@ def test_split_arrival_equals_single_arrival(spark, archive, tmp_path):
             assert sorted(left.collect()) == sorted(right.collect()), table
 
 
+def test_documents_of_a_day_are_written_by_one_task(spark, archive, tmp_path):
+    """However many files the events come in, a day gets a file; undated and broken documents are all there too."""
+    for n in range(5):
+        archive.add(*(whole(10 * n + d).replace(STAMP, f"2024-05-0{d + 1}T12:00:00+00:00", 1) for d in range(4)), "{bad", None)
+    house = Lakehouse(spark, str(tmp_path / "house"), archive.folder)
+    house.update_bronze()
+    stored = house.read(BRONZE_BATCHES)
+    assert stored.count() == stored.select("sequence_number").distinct().count() == 30
+    per_day = {p.name: len([*p.glob("*.parquet")]) for p in (tmp_path / "house/tables" / BRONZE_BATCHES).glob("day=*")}
+    assert len(per_day) == 5 and set(per_day.values()) == {1}
+    assert house.progress[BRONZE_BATCHES]["rules"] == {"rows": 30, "valid_json_payload": 20, "rows_kept": 20}
+    assert all(f.name.endswith(".zstd.parquet") for t in (BRONZE_RAW, BRONZE_BATCHES) for f in (tmp_path / "house/tables" / t).rglob("*.parquet"))
+
+
+@pytest.mark.parametrize("dedup, stream", [("arrival", "entities"), ("state", "silver_drivers")])
+def test_a_state_has_as_many_partitions_as_the_cores_ask_for(spark, archive, tmp_path, dedup, stream):
+    """Each partition is a store that every micro-batch commits: two hundred of them cost an update more than its rows."""
+    archive.add(whole(0), whole(1))
+    changelog = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+    with settings(spark, **{"spark.sql.shuffle.partitions": "200", changelog: "false"}):
+        house = Lakehouse(spark, str(tmp_path / "house"), archive.folder, dedup=dedup)
+        house.update_bronze()
+        house.run("silver_drivers")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200" and spark.conf.get(changelog) == "false"
+    state = tmp_path / "house/checkpoints" / stream / "state/0"
+    assert len([p for p in state.iterdir() if p.name.isdigit()]) == min(200, runner.TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    assert [*state.rglob("*.changelog")] and house.read("silver_drivers").count() == 2
+
+
 @pytest.mark.parametrize("dedup", ["arrival", "state"])
 @pytest.mark.parametrize("validate_first, kept", [(False, 0), (True, 1)])
 def test_bad_first_file_claims_the_key(spark, archive, tmp_path, dedup, validate_first, kept):
