@@ -26,3 +26,22 @@ def test_the_feed_is_stored_small_and_without_a_sort(spark, monkeypatch):
     stored = spark.read.parquet(ws.landing)
     assert stored.filter("arrival <> SequenceNumber div 8 % 2").count() == 0
     assert stored.count() == build(spark, SF).filter("SequenceNumber % 8 < 4").count()
+
+
+def test_documents_are_written_and_parsed_by_small_tasks(spark, monkeypatch, tmp_path):
+    """A task's share of the feed is small, as it grows many times when it becomes documents; the caller's settings come back."""
+    names = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
+    before = [spark.conf.get(n) for n in names]
+    seen = []
+    write = type(spark.range(1).write).parquet
+    monkeypatch.setattr("pyspark.sql.readwriter.DataFrameWriter.parquet", lambda self, *a, **k: (
+        seen.append([spark.conf.get(n) for n in names]), write(self, *a, **k))[1])
+    ws = Workspace(spark, SF)
+    assert ws.batches().count() == ws.raw().count()
+    for arrival in (0, 1):
+        ws.deliver(arrival, str(tmp_path / "files"))
+    assert seen == [["8m", before[1]], [before[0], "16m"], [before[0], "16m"], [before[0], "16m"]]
+    assert [spark.conf.get(n) for n in names] == before
+    delivered = spark.read.parquet(str(tmp_path / "files"))
+    assert delivered.columns == ws.spark.read.parquet(ws.landing).drop("arrival").columns
+    assert delivered.select("SequenceNumber").distinct().count() == delivered.count() == ws.raw().count()
