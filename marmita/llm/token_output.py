@@ -44,6 +44,12 @@ AFTER_LATIN = "\u0250"
 #: How byte-level models spell the 256 bytes: printable ones as themselves, the others as code points from 256 on.
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 SPELLED = {b: chr(b) for b in PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)).difference(PRINTABLE)))}
+#: All of a text up to the marks at its end.
+NOT_CLOSING = r"(?s)^.*[^.,;:!?#%&*$|\"')]"
+#: First bytes of characters that are not white space, and ASCII letters and digits.
+BEGINS, ENDS = np.zeros(256, bool), np.zeros(256, bool)
+BEGINS[0x21:0x7F] = BEGINS[0xC3:0xE0] = True
+ENDS[[b for b in range(128) if chr(b).isalnum()]] = True
 LONE_SPACE = re.compile(r"(?<!\s) (?!\s)")
 
 
@@ -147,11 +153,12 @@ class Encoder:
         split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         begin = split.offsets.to_numpy()
         found = split.flatten().dictionary_encode()
-        units, codes = found.dictionary.to_pylist(), found.indices.to_numpy()
-        pieces = [self.spaced.get(u) for u in units]
-        unknown = [i for i, known in enumerate(pieces) if known is None]
-        strange = np.zeros(len(units), bool)
-        strange[[i for i in unknown if beside_space(units[i])]] = True
+        codes = found.indices.to_numpy().astype(np.int64)
+        flat, size, plain = self._plain(found.dictionary)
+        others = np.flatnonzero(~plain)
+        units = found.dictionary.take(pa.array(others)).to_pylist()
+        strange = np.zeros(len(plain), bool)
+        strange[others] = [beside_space(u) for u in units]
         odd = np.logical_or.reduceat(strange[codes], begin[:-1])
         if odd.any():
             out: list = [None] * len(texts)
@@ -159,24 +166,82 @@ class Encoder:
                 for i, ids in zip(some.tolist(), encode([texts[i] for i in some.tolist()]), strict=True):
                     out[i] = ids
             return out
-        tail = np.ones(len(codes), bool)
-        tail[begin[:-1]] = False
-        after = np.zeros(len(units), bool)
-        after[codes[tail]] = True
-        heads = [units[c] for c in codes[begin[:-1]].tolist()]
+        heads = found.dictionary.take(pa.array(codes[begin[:-1]])).to_pylist()
         self._learn(self.first, set(heads), "")
-        self._learn_tails({units[i] for i in unknown if after[i]})
-        for i in unknown:
-            pieces[i] = self.spaced[units[i]] if after[i] else b""
-        pieces += [self.first[u] for u in heads]  # entries of their own, behind those of the units after a space
-        codes = codes.astype(np.int64)
-        codes[begin[:-1]] = len(units) + np.arange(len(heads))
-        flat, size = np.frombuffer(b"".join(pieces), np.uint32), np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
-        length = size[codes]
-        ends = np.cumsum(length)
-        ids = flat[np.repeat((np.cumsum(size) - size)[codes] - (ends - length), length) + np.arange(int(ends[-1]))]
+        self._learn_tails(set(units).difference(self.spaced))
+        # Other units and first ones, which no space comes before, are entries of their own.
+        more = [*map(self.spaced.__getitem__, units), *map(self.first.__getitem__, heads)]
+        own = np.arange(len(plain))
+        own[others] = len(plain) + np.arange(len(others))
+        codes = own[codes]
+        codes[begin[:-1]] = len(plain) + len(others) + np.arange(len(heads))
+        ids, ends = laid_out(np.r_[flat, np.frombuffer(b"".join(more), np.uint32)], np.r_[size, _sizes(more)], codes)
         return np.split(ids, ends[begin[1:-1] - 1])
 
+    def _plain(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, number of ids of each unit, which units these are) for units after a space that consist of words closed by marks, one a line.
+
+        The rule is that of ``_learn_tails``, by columns, for words that begin with a visible character below U+0800 and end with a letter or digit
+        below U+0100; units with other words have no ids here.
+        """
+        lines = pc.split_pattern(units, "\n")
+        line, begin = lines.flatten(), lines.offsets.to_numpy()
+        words = pc.ascii_rtrim(line, characters=MARKS)
+        ends_plainly = _plain_ends(words)
+        plain = np.logical_and.reduceat(ends_plainly, begin[:-1])
+        of_unit = np.repeat(np.arange(len(units)), np.diff(begin))
+        taken = np.flatnonzero(plain[of_unit])
+        line, words, of_unit = line.take(pa.array(taken)), words.take(pa.array(taken)), of_unit[taken]
+        leads = np.r_[True, of_unit[1:] != of_unit[:-1]][:len(of_unit)]
+        marked = np.flatnonzero((pc.binary_length(line).to_numpy() != pc.binary_length(words).to_numpy()))
+        marks = pc.replace_substring_regex(line.take(pa.array(marked)), pattern=NOT_CLOSING, replacement="").dictionary_encode()
+        pieces = [b"", np.array(self.newline, np.uint32).tobytes()]
+        parts = np.zeros((len(taken), 3), np.int64)  # newline, word, marks of each line
+        parts[~leads, 0] = 1
+        for rows, memo, before in ((np.flatnonzero(leads), self.spaced, " "), (np.flatnonzero(~leads), self.first, "")):
+            distinct = words.take(pa.array(rows)).dictionary_encode()
+            parts[rows, 1] = len(pieces) + distinct.indices.to_numpy()
+            pieces += self._pieces(memo, distinct.dictionary.to_pylist(), before)
+        parts[marked, 2] = len(pieces) + marks.indices.to_numpy()
+        pieces += self._pieces(self.first, marks.dictionary.to_pylist(), "")
+        ids, ends = laid_out(np.frombuffer(b"".join(pieces), np.uint32), _sizes(pieces), parts.ravel())
+        size = np.zeros(len(units), np.int64)
+        last = np.flatnonzero(np.r_[leads[1:], True][:len(leads)])
+        size[plain] = np.diff(ends[3 * last + 2], prepend=0)
+        return ids, size, plain
+
+    def _pieces(self, memo: dict[str, bytes], units: list[str], before: str) -> list[bytes]:
+        found = [memo.get(u) for u in units]
+        new = [i for i, known in enumerate(found) if known is None]
+        self._learn(memo, {units[i] for i in new}, before)
+        for i in new:
+            found[i] = memo[units[i]]
+        return found
+
+
+def _sizes(pieces: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+
+
+def laid_out(flat: np.ndarray, size: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces ``codes`` in a row, of pieces that lie in ``flat`` one after another, and where each ends."""
+    length = size[codes]
+    ends = np.cumsum(length)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat((np.cumsum(size) - size)[codes] - (ends - length), length) + np.arange(total)], ends
+
+
+def _plain_ends(words: pa.Array) -> np.ndarray:
+    """Which words begin with a visible character below U+0800 and end with a letter or digit below U+0100, ª, º and superscripts apart."""
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    raw = words.buffers()[2]
+    data = np.r_[np.zeros(1, np.uint8), np.frombuffer(raw, np.uint8) if raw else np.zeros(0, np.uint8)]  # a byte before the first
+    begin, end = ends[:-1] + 1, ends[1:]
+    some = end >= begin
+    first, last = data[np.minimum(begin, len(data) - 1)], data[end]
+    accented = (data[np.maximum(end - 1, 0)] == 0xC3) & (last >= 0x80) & (last < 0xC0) & (last != 0x97) & (last != 0xB7)
+    return some & BEGINS[first] & (ENDS[last] | accented)
+
 
 def worker_encoder(tokenizer_json: str) -> Encoder:
     """One encoder per Python worker, which serves many tasks: units known from one are not encoded again in the next."""
@@ -186,63 +251,82 @@ def worker_encoder(tokenizer_json: str) -> Encoder:
     return getattr(kept, tokenizer_json)
 
 
-def frequent_pairs(symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(pairs, at, which) of neighbouring symbols within a document: the pairs that occur at least ``LEAST`` times without overlap,
-    most frequent first, where they occur and which pair stands there.
+def frequent_pairs(symbols: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(pairs, at, which, overlapping) of the symbols at ``at`` (ascending) and their right neighbours: the pairs that occur at least
+    ``LEAST`` times without overlap, most frequent first, where they occur, which pair stands there, and further places that overlap those.
 
-    Slots only sort out positions whose pair cannot be frequent; the pairs of all other positions are counted exactly.
+    A slot counts one pair, that of one of its places; the few other pairs of crowded slots are sorted.  So all counts are exact.
     """
-    n = len(symbols)
-    left, right = symbols[:-1], symbols[1:]
-    slot = ((left * np.uint32(2654435761)) ^ (right * np.uint32(2246822519))) >> np.uint32(32 - SLOT_BITS)
-    across = starts[1:] - 1
-    across = across[(across >= 0) & (across < n - 1)]
-    inner = np.ones(n - 1, bool)
-    inner[across] = False
-    at = np.flatnonzero((np.bincount(slot[inner], minlength=1 << SLOT_BITS) >= LEAST)[slot] & inner)
-    pairs = (left[at].astype(np.uint64) << np.uint64(32)) | right[at]
+    left, right, bits = symbols[at], symbols[at + 1], min(SLOT_BITS, 4 + len(at).bit_length())
+    slot = (((left * np.uint32(2654435761)) ^ (right * np.uint32(2246822519))) >> np.uint32(32 - bits)).astype(np.intp)
+    short = int(symbols.max()) < 1 << 16
+    kind, half = (np.uint32, np.uint32(16)) if short else (np.uint64, np.uint64(32))
+    pairs = left.astype(kind)
+    pairs <<= half
+    pairs |= right
     # Only a pair of equal symbols overlaps itself: of a run take the first, third, ... occurrence.
-    place = np.arange(len(at))
-    run = np.maximum.accumulate(np.where(np.r_[True, (np.diff(at) > 1) | (pairs[1:] != pairs[:-1])][:len(at)], place, 0))
-    apart = (place - run) % 2 == 0
-    pairs, which, times = np.unique(pairs[apart], return_inverse=True, return_counts=True)
-    order = np.lexsort((pairs, -times))
-    order = order[times[order] >= LEAST]
-    rank = np.full(len(pairs), -1, np.int64)
-    rank[order] = np.arange(len(order))
-    which = rank[which]
-    return pairs[order], at[apart][which >= 0], which[which >= 0]
+    equal = np.flatnonzero(left == right)
+    place = np.arange(len(equal))
+    begin = np.maximum.accumulate(np.where(np.r_[True, np.diff(at[equal]) > 1][:len(equal)], place, 0))
+    overlap = equal[(place - begin) % 2 == 1]
+    of_slot = np.zeros(1 << bits, kind)
+    of_slot[slot] = pairs
+    others = np.flatnonzero(of_slot[slot] != pairs)
+    known, number = np.unique(pairs[others], return_inverse=True)
+    slot[others] = len(of_slot) + number
+    times = np.bincount(slot, minlength=len(of_slot) + len(known))
+    np.subtract.at(times, slot[overlap], 1)
+    often = np.flatnonzero(times >= LEAST)
+    pairs = np.r_[of_slot, known][often].astype(np.uint64)
+    pairs = pairs >> np.uint64(half) << np.uint64(32) | pairs & np.uint64((1 << int(half)) - 1)
+    order = np.lexsort((pairs, -times[often]))
+    rank = np.full(len(times), -1, np.int32)
+    rank[often[order]] = np.arange(len(order))
+    rank = rank[slot]
+    frequent = rank >= 0
+    rest = at[overlap[frequent[overlap]]]
+    frequent[overlap] = False
+    frequent = np.flatnonzero(frequent)
+    return pairs[order], at[frequent], rank[frequent], rest
 
 
 def repair(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, first symbol of each document, rules) of the concatenated ``ids`` of documents that begin at ``starts``.
 
     A round replaces every frequent pair where no more frequent one overlaps it; rounds go on until no pair is frequent.  All
-    occurrences of the most frequent pair are replaced, so each round shortens the symbols.
+    occurrences of the most frequent pair are replaced, so each round shortens the symbols.  Pairs get rarer unless a symbol of theirs was put in, so after
+    the first round only places of pairs that were frequent, or that touch what the last round put in, are counted.
     """
     symbols, starts, rules = ids.astype(np.uint32), starts.astype(np.int64), {}
-    while len(symbols) > 1:
-        n = len(symbols)
-        pairs, at, which = frequent_pairs(symbols, starts)
+    inner = np.ones(max(0, len(symbols) - 1), bool)
+    inner[[i - 1 for i in starts.tolist() if 0 < i < len(symbols)]] = False
+    count = np.flatnonzero(inner)
+    while len(count):
+        pairs, at, which, overlapping = frequent_pairs(symbols, count)
         if not len(at):
             break
-        near = np.diff(at) == 1
-        first = np.r_[True, ~near | (which[1:] < which[:-1])] & np.r_[~near | (which[:-1] < which[1:]), True]
-        at, which = at[first], which[first]
+        near, rise = np.diff(at) == 1, np.diff(which)
+        first = np.flatnonzero(np.r_[True, ~near | (rise < 0)] & np.r_[~near | (rise > 0), True])
+        chosen = which[first]
         # The others of a pair that loses too many places wait for a later round.
-        used = np.bincount(which, minlength=len(pairs)) >= LEAST
-        number = np.zeros(len(pairs), np.uint32)
-        for i in np.flatnonzero(used).tolist():
-            number[i] = rules.setdefault(int(pairs[i]), base + len(rules))
-        at, new = at[used[which]], number[which[used[which]]]
-        symbols = symbols.copy()
-        symbols[at] = new
-        keep = np.ones(n, bool)
-        keep[at + 1] = False
-        moved = np.cumsum(keep) - keep
-        ends = starts >= n
-        starts = np.where(ends, int(keep.sum()), moved[np.minimum(starts, n - 1)])
-        symbols = symbols[keep]
+        used = np.bincount(chosen, minlength=len(pairs)) >= LEAST
+        number, known = np.zeros(len(pairs), np.uint32), len(rules)
+        for i, pair in zip(np.flatnonzero(used).tolist(), pairs[used].tolist(), strict=True):
+            number[i] = rules.setdefault(pair, base + len(rules))
+        placed = np.flatnonzero(used[chosen])
+        put = at[first[placed]]
+        symbols[put] = number[chosen[placed]]
+        n, symbols = len(symbols), np.delete(symbols, put + 1)
+        starts = starts - np.searchsorted(put, starts - 1)
+        touched = np.zeros(n + 1, bool)
+        touched[at] = touched[overlapping] = touched[put - 1] = True  # -1 is the entry behind the last symbol
+        touched = np.delete(touched, put + 1)
+        if (again := number[used & (number < base + known)]).size:  # symbols of former rounds, which stand elsewhere too
+            same = np.flatnonzero(np.isin(symbols, again))
+            touched[same] = touched[same - 1] = True
+        touched[len(symbols) - 1:] = False
+        touched[starts[starts > 0] - 1] = False
+        count = np.flatnonzero(touched)
     return symbols, starts, np.array([(p >> 32, p & 0xFFFFFFFF) for p in rules], np.uint32).reshape(-1, 2)
 
 

@@ -126,3 +126,27 @@ def test_no_frequent_pair_is_left():
         else:  # the most frequent pairs of the tokens get the first rules
             best = max(pairs, key=lambda p: (pairs[p], (-p[0], -p[1])))
             assert tuple(rules[0].tolist()) == best
+
+
+def test_a_word_is_learned_once_for_all_marks_and_lines():
+    encoder, some = t.Encoder(PATH), ["x word word, word. word!?\nword; word\nüber übé's übé", "y word\" word's"]
+    want = [e.ids for e in Tokenizer.from_file(PATH).encode_batch(some, add_special_tokens=False)]
+    assert [x.tolist() for x in encoder.encode(some)] == want
+    assert set(encoder.spaced) == {"x", "y", "word", "word's", "übé", "übé's"}
+
+
+def test_every_character_at_the_ends_of_words():
+    some = [f"a {c}b b{c} {c}, b{c}. {c} b{c}\nb, b.\n{c}b" for c in map(chr, [*range(1, 0x2100), 0x3000, 0x6f22, 0x1d11e])]
+    want = [e.ids for e in Tokenizer.from_file(PATH).encode_batch(some, add_special_tokens=False)]
+    encoder = t.Encoder(PATH)
+    assert [encoder.encode([x])[0].tolist() for x in some] == want
+    assert [x.tolist() for x in t.Encoder(PATH).encode(some)] == want
+
+
+def test_later_rounds_count_touched_places_only(monkeypatch):
+    counted, count = [], t.frequent_pairs
+    monkeypatch.setattr(t, "frequent_pairs", lambda symbols, at: counted.append((len(symbols), len(at))) or count(symbols, at))
+    ids = (np.random.default_rng(3).zipf(1.2, 100_000) % 3000).astype(np.uint32)
+    t.repair(ids, np.arange(0, len(ids) + 1, 100), 3000)
+    assert counted[0] == (100_000, 99_000) and len(counted) > 3
+    assert counted[-1][1] < counted[-1][0] / 10
