@@ -205,7 +205,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
     wanted = members.select("node").distinct()
     read = groups.join(wanted, "node", "left_semi").select("node", "doc_id", "text_hash")
-    texts = docs.join(read, ["doc_id", "text_hash"]).select("node", "text")
+    # One text a node, also if rows repeat both its doc_id and its text.
+    texts = docs.join(read, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"]).select("node", "text")
     sets = store(texts.mapInArrow(_sets(shingle), "node long, members array<long>, sig binary, short binary"), "sets")
 
     star = members.where("node != p").select(F.col("p").alias("a"), F.col("node").alias("b")).distinct()

@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from marmita.llm import near_dups
 from marmita.llm.near_dups import near_duplicates
 
 DDL = "doc_id LONG, text STRING, n LONG, key STRING"
@@ -106,3 +107,13 @@ def test_one_id_with_two_texts_in_a_hot_key(spark):
     expected = sorted((i % 1000, want[i][0], find(root[i])) for i in want)
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == expected
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+
+
+def test_a_set_is_stored_once_however_often_its_row_repeats(spark, monkeypatch):
+    stored, store = {}, near_dups.store
+    monkeypatch.setattr(near_dups, "store", lambda df, name: stored.setdefault(name, store(df, name)))
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, words)] * 20 + [(2, words + " more")] * 30
+    got = near_dups.near_duplicates(spark.createDataFrame(rows, "doc_id LONG, text STRING")).collect()
+    assert len(got) == 50 and {r.component_id for r in got} == {1}
+    assert stored["sets"].count() == 2

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import uuid
 
 import numpy as np
 import public_tokenizers
@@ -9,6 +10,7 @@ import zlib
 from tokenizers import Tokenizer
 
 import corpus_pipeline as pipeline
+from marmita.llm import common
 
 DDL = "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG"
 
@@ -91,3 +93,28 @@ def test_rows_are_judged_one_by_one(spark, tmp_path):
     assert {x for x in kept if x[0] is None or x[0] < 20} == {(None, good[0] + " end"), (7, good[1] + " end"), (8, good[3] + " end"), (9, good[5])}
     mixed = left.where("doc_id = 9").first()
     assert mixed is None or tuple(mixed)[5:] == (1, "c", 2, 3, 4, "k", 5, 6)
+
+
+def test_stages_store_no_copy_of_the_texts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_folder", lambda _: f"{tmp_path}/stored/{uuid.uuid4()}")
+    tables(spark, tmp_path)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in pipeline.STAGES[:-1]:
+        assert stage(spark, docs, str(tmp_path)).count()
+    stored = [spark.read.parquet(str(p)).columns for p in (tmp_path / "stored").glob("*/*")]
+    assert len(stored) > 8 and not [c for c in stored if "text" in c]
+
+
+def test_repeated_rows(spark, tmp_path):
+    """Equal rows are judged alike; one is left of those with words, all of those without."""
+    tables(spark, tmp_path)
+    texts = [r.text for r in spark.read.parquet(f"{tmp_path}/documents.parquet").where("doc_id < 3").orderBy("doc_id").collect()]
+    leak = spark.read.parquet(f"{tmp_path}/benchmark.parquet").first().text
+    rows = [(1, texts[0], "a"), (1, texts[0], "b"), (None, texts[1], "c"), (None, texts[1], "c"), (5, None, "d"), (5, None, "d"), (None, "", "e"), (None, "", "e"),
+            (None, None, "e"), (4, texts[2] + " " + leak, "f"), (4, texts[2] + " " + leak, "f")]
+    docs = spark.createDataFrame([(i, t, "en", "s0", 0, {k: 1}) for i, t, k in rows], f"{DDL}, extra MAP<STRING, INT>")
+    judged = lambda name: sorted([(r.doc_id, r.text) for r in dict(pipeline.STAGES)[name](spark, docs, str(tmp_path)).collect()], key=str)
+    pairs = [(i, t) for i, t, _ in rows]
+    assert judged("quality rules") == sorted([x for x in pairs if x[1]], key=str)
+    assert judged("near-duplicates") == sorted([pairs[0], pairs[2], *pairs[4:10]], key=str)
+    assert judged("decontamination") == sorted(pairs[:9], key=str)
