@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import time
 from pathlib import Path
 
+from conftest import client, order, payload, restaurant
 from marmita.plans.workspace import Workspace
+from marmita.session import let_go
 from marmita.sources.feed import feed
+from marmita.streaming.runner import Lakehouse
 
 SF = "/root/testdata/sf0.001"
 
@@ -45,3 +49,30 @@ def test_documents_are_written_and_parsed_by_small_tasks(spark, monkeypatch, tmp
     delivered = spark.read.parquet(str(tmp_path / "files"))
     assert delivered.columns == ws.spark.read.parquet(ws.landing).drop("arrival").columns
     assert delivered.select("SequenceNumber").distinct().count() == delivered.count() == ws.raw().count()
+
+
+def shuffled(spark):
+    """Names of the shuffle files that Spark keeps."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = {files.apply(i).getName() for i in range(files.size())}
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_shuffle_files_of_finished_steps_are_deleted(spark, tmp_path):
+    before = shuffled(spark)
+    spark.range(1000).repartition(5).write.parquet(str(tmp_path / "dealt"))
+    for _ in range(10):  # Spark deletes them in a thread of its own
+        let_go(spark)
+        if not shuffled(spark) - before:
+            break
+    assert not shuffled(spark) - before
+
+
+def test_the_feed_and_every_run_let_go_of_their_shuffles(spark, archive, tmp_path, monkeypatch):
+    steps = []
+    monkeypatch.setattr("marmita.plans.workspace.let_go", lambda _: steps.append("feed"))
+    monkeypatch.setattr("marmita.streaming.runner.let_go", lambda _: steps.append("run"))
+    assert Workspace(spark, SF).landing and steps == ["feed"]
+    archive.add(payload(clientes=[client()], restaurantes=[restaurant()], orders=[order()]))
+    Lakehouse(spark, str(tmp_path / "house"), archive.folder).update_bronze()
+    assert steps == ["feed", "run", "run"]
