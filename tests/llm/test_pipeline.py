@@ -118,3 +118,14 @@ def test_repeated_rows(spark, tmp_path):
     assert judged("quality rules") == sorted([x for x in pairs if x[1]], key=str)
     assert judged("near-duplicates") == sorted([pairs[0], pairs[2], *pairs[4:10]], key=str)
     assert judged("decontamination") == sorted(pairs[:9], key=str)
+
+
+def test_quality_stage_reads_letters_of_every_script(spark, tmp_path):
+    rng = random.Random(6)
+    words = ["".join(rng.choices("абвгдежзиклмнопрст", k=rng.randrange(2, 8))) for _ in range(60)]
+    texts = [" ".join(rng.choice(words) for _ in range(300)) for _ in range(100)]
+    # Letters that agree with those of a text in their code point modulo 26, in no order.
+    other = [[chr(c) for c in range(0x4E00, 0x9000) if c % 26 == k] for k in range(26)]
+    texts.append("".join(rng.choice(other[ord(c) % 26]) if c != " " else c for c in texts[0]))
+    docs = spark.createDataFrame([(i, t, "ru", "s", 0) for i, t in enumerate(texts)], DDL)
+    assert sorted(r.doc_id for r in pipeline.quality_rules(spark, docs, str(tmp_path)).collect()) == list(range(100))
