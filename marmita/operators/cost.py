@@ -92,11 +92,13 @@ def variation(cost_detail: DataFrame, days: int, by: str = "service_name",
     """Total of the last ``days`` days against the same span before it.
 
     ``pct_change`` is null where the earlier span cost nothing.  The latest day
-    is an aggregate of its own over that one column, so that the daily sums of
-    all values never meet in a task.
+    is an aggregate of its own over that one column, taken at once by a read of its
+    own, so that the daily sums of all values never meet in a task.
     """
+    if end is None:
+        end = cost_detail.agg(F.max("usage_date")).first()[0]
     daily = cost_detail.groupBy(by, "usage_date").agg(F.sum("pretax_cost").alias("cost"))
-    dated = daily.withColumn("to", last_day(cost_detail, end))
+    dated = daily.withColumn("to", F.lit(end).cast("date"))
     spans = dated.withColumn("age", F.datediff("to", "usage_date")).filter(F.col("age").between(0, 2 * days - 1))
 
     def span(low: int, high: int, name: str) -> Column:
